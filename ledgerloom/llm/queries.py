@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Registry
-from ..sources.tables import table
+from ..sources.tables import materialise, table
+from .mixture import mix, plan_budgets, quality, report
+from .tokens import encode
 from .vectors import neighbour_pairs
 
 LLM = Registry()
@@ -16,3 +18,33 @@ LLM = Registry()
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of vectors of which one is among the 10 most similar of the other."""
     return neighbour_pairs(table(spark, sf_dir, "topic_vectors"), "vec_id", "vector", 64, 10)
+
+
+@LLM.add("p8_ids")
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document by byte_bpe_50k."""
+    return encode(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def _sized(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Documents with their size in tokens and their weight, as a table, and their number."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    sizes = encode(docs, "doc_id", "text").select("doc_id", F.size("ids").alias("n_tokens"))
+    weights = docs.select("doc_id", "source", quality(F.col("text")).alias("weight"))
+    sized = materialise(weights.join(sizes, "doc_id"), "sized")
+    return sized, sized.count()
+
+
+@LLM.add("p9_mix")
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mixture with their number of copies."""
+    docs, rows = _sized(spark, sf_dir)
+    return mix(docs, plan_budgets(docs, table(spark, sf_dir, "mix_targets"), None), rows)
+
+
+@LLM.add("p9_report")
+def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual shares of the sources of the mixture."""
+    docs, rows = _sized(spark, sf_dir)
+    plan = plan_budgets(docs, table(spark, sf_dir, "mix_targets"), None)
+    return report(plan, mix(docs, plan, rows))
