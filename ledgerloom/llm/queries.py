@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..plans.registry import Registry
 from ..sources.tables import materialise, table
 from .mixture import mix, plan_budgets, quality, report
+from .neardup import expanded, similar_classes
 from .tokens import encode
 from .vectors import neighbour_pairs
 
@@ -48,3 +49,21 @@ def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, rows = _sized(spark, sf_dir)
     plan = plan_budgets(docs, table(spark, sf_dir, "mix_targets"), None)
     return report(plan, mix(docs, plan, rows))
+
+
+def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(uid, text) of the search results and pages that are compared; uid is twice the id, plus 1 for pages."""
+    results = table(spark, sf_dir, "search_result").where("length(snippet) >= 80 and result_id is not null")
+    results = results.select((F.col("result_id") * 2).alias("uid"), F.concat(F.coalesce("title", F.lit("")), F.lit("\n"), "snippet").alias("text"))
+    pages = table(spark, sf_dir, "remote_page_result").where("length(extracted_text) >= 200 and page_id is not null")
+    pages = pages.select((F.col("page_id") * 2 + 1).alias("uid"), F.col("extracted_text").alias("text"))
+    both = results.unionByName(pages).where(r"text rlike '\\S'")
+    return both
+
+
+@LLM.add("p4_found")
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of records of one table with a similarity of at least 0.7 on 5-character substrings."""
+    pairs = expanded(*similar_classes(_compared(spark, sf_dir), 0.7)).where("a < b").distinct()
+    src = F.when(F.col("a").bitwiseAND(1) == 0, "search_result").otherwise("remote_page_result")
+    return pairs.select(src.alias("src"), F.shiftright("a", 1).alias("id_a"), F.shiftright("b", 1).alias("id_b"))
