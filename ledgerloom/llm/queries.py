@@ -9,6 +9,7 @@ from ..plans.registry import Registry
 from ..sources.tables import materialise, table
 from .mixture import mix, plan_budgets, quality, report
 from .neardup import expanded, similar_classes
+from .spans import shared_parts, shared_spans, sharing_pairs
 from .tokens import encode
 from .vectors import neighbour_pairs
 
@@ -67,3 +68,20 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = expanded(*similar_classes(_compared(spark, sf_dir), 0.7)).where("a < b").distinct()
     src = F.when(F.col("a").bitwiseAND(1) == 0, "search_result").otherwise("remote_page_result")
     return pairs.select(src.alias("src"), F.shiftright("a", 1).alias("id_a"), F.shiftright("b", 1).alias("id_b"))
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), "text").where("doc is not null")
+
+
+@LLM.add("p10_found")
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents that share a verbatim span of at least 200 characters."""
+    return sharing_pairs(*shared_spans(_documents(spark, sf_dir)))
+
+
+@LLM.add("p10_shared")
+def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of each document that also stands in another one, in spans of at least 200 characters."""
+    docs = _documents(spark, sf_dir)
+    return shared_parts(docs, *shared_spans(docs)).withColumnRenamed("doc", "doc_id")
