@@ -56,12 +56,12 @@ def encode(df: DataFrame, id_col: str, text_col: str, tokenizer_dir: str = TOKEN
     path = os.path.join(tokenizer_dir, file)
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     full = rows.where(F.col("_text") != "")
-    # a text from 48 bytes up counts as its length; the sum only sizes the chunks
     size = full.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     chunks = max(1, math.ceil(size / chunk_bytes))
     placed = full.select("_id", "_text", F.pmod(F.xxhash64("_id"), F.lit(chunks)).cast("int").alias("_chunk")).repartition("_chunk")
     split = placed.select("_id", "_chunk", words(F.col("_text")).alias("_words"))
-    used = split.select("_chunk", F.explode(F.array_distinct("_words")).alias("word")).distinct()
+    # the count keeps _id in this branch, so that both branches need the same columns and share one exchange of the texts
+    used = split.select("_chunk", "_id", F.explode(F.array_distinct("_words")).alias("word")).groupBy("_chunk", "word").agg(F.count("_id").alias("n")).where("n >= 0")
 
     @F.pandas_udf("array<int>")
     def ids_of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
