@@ -16,7 +16,7 @@ BIN_ROWS = 20_000
 
 def quality(text: Column) -> Column:
     """Share of letters and digits in a text, 0.05 at least."""
-    return F.greatest(F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]", "")) / F.length(text), F.lit(0.05))
+    return F.greatest(F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]", "")) / F.greatest(F.length(text), F.lit(1)), F.lit(0.05))
 
 
 def plan_budgets(docs: DataFrame, targets: DataFrame, total: int | None) -> DataFrame:
