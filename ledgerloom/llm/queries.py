@@ -9,6 +9,7 @@ from ..plans.registry import Registry
 from ..sources.tables import materialise, table
 from .mixture import mix, plan_budgets, quality, report
 from .neardup import expanded, similar_classes
+from .residue import residue
 from .spans import shared_parts, shared_spans, sharing_pairs
 from .tokens import encode
 from .vectors import neighbour_pairs
@@ -85,3 +86,21 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The share of each document that also stands in another one, in spans of at least 200 characters."""
     docs = _documents(spark, sf_dir)
     return shared_parts(docs, *shared_spans(docs)).withColumnRenamed("doc", "doc_id")
+
+
+def _residue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = table(spark, sf_dir, "search_result").select("result_id", "title", "url", "snippet")
+    host = F.regexp_extract("url", r"^[a-z]+://([^/]+)", 1)
+    snippets = results.select(F.lit("search_result").alias("src"), F.col("result_id").alias("row_key"), F.col("snippet").alias("text"), host.alias("host"), "title", "url")
+    titles = results.groupBy("result_id").agg(F.max("title").alias("title"))
+    pages = table(spark, sf_dir, "remote_page_result").select("page_id", "result_id", "url", "site", "extracted_text")
+    # texts stay where they are: the titles are matched to page ids first
+    pages = pages.join(titles, "result_id", "left")
+    pages = pages.select(F.lit("remote_page_result").alias("src"), F.col("page_id").alias("row_key"), F.col("extracted_text").alias("text"), F.col("site").alias("host"), "title", "url")
+    return snippets.unionByName(pages)
+
+
+@LLM.add("p6_found")
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and snippets that carry placeholders, filler, error messages or script notices instead of content."""
+    return residue(_residue_rows(spark, sf_dir), ["src", "row_key"], "text", "host", "title", "url").where("row_key is not null")
