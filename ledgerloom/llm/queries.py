@@ -10,6 +10,7 @@ from ..sources.tables import materialise, table
 from .mixture import mix, plan_budgets, quality, report
 from .neardup import expanded, similar_classes
 from .residue import residue
+from .scans import repaired
 from .spans import shared_parts, shared_spans, sharing_pairs
 from .tokens import encode
 from .vectors import neighbour_pairs
@@ -104,3 +105,21 @@ def _residue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and snippets that carry placeholders, filler, error messages or script notices instead of content."""
     return residue(_residue_rows(spark, sf_dir), ["src", "row_key"], "text", "host", "title", "url").where("row_key is not null")
+
+
+def _repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "remote_page_result").select(F.col("page_id").alias("id"), F.col("extracted_text").alias("text")).where("id is not null")
+    corpus = table(spark, sf_dir, "documents").select("text").where("text is not null")
+    return repaired(pages, corpus)
+
+
+@LLM.add("p5_found")
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of scanned pages to repair, one row per kind."""
+    return _repaired(spark, sf_dir).select(F.col("id").alias("page_id"), F.explode("found").alias("f")).select("page_id", "f.line_no", "f.kind").distinct()
+
+
+@LLM.add("p5_repaired")
+def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of scanned pages in continuous paragraphs."""
+    return _repaired(spark, sf_dir).select(F.col("id").alias("page_id"), "text")
