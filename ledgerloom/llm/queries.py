@@ -13,6 +13,7 @@ from .residue import residue
 from .scans import repaired
 from .spans import shared_parts, shared_spans, sharing_pairs
 from .tokens import encode
+from .wrapper import main_text, site_lines
 from .vectors import neighbour_pairs
 
 LLM = Registry()
@@ -123,3 +124,24 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of scanned pages in continuous paragraphs."""
     return _repaired(spark, sf_dir).select(F.col("id").alias("page_id"), "text")
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, host, text) of the pages that carry content."""
+    pages = table(spark, sf_dir, "remote_page_result").where("page_id is not null")
+    rows = pages.select(F.lit("remote_page_result").alias("src"), "page_id", "site", "url", "extracted_text", F.lit(None).cast("string").alias("title"))
+    bad = residue(rows, ["page_id"], "extracted_text", "site", "title", "url")
+    return pages.join(bad, "page_id", "left_anti").select(F.col("page_id").alias("id"), F.col("site").alias("host"), F.col("extracted_text").alias("text"))
+
+
+@LLM.add("p1_found")
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of pages that belong to the site and not to the article or notice."""
+    return site_lines(_pages(spark, sf_dir)).select(F.col("id").alias("page_id"), "line_no").distinct()
+
+
+@LLM.add("p1_main_text")
+def p1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page."""
+    pages = _pages(spark, sf_dir)
+    return main_text(pages, site_lines(pages)).withColumnRenamed("id", "page_id")
