@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import materialise
+
 # What unfilled placeholders look like, where the name inside may be any word.
 PLACEHOLDERS = [
     r"\{\{[^{}\n]{1,60}\}\}", r"\{%[^{}%\n]{1,60}%\}", r"<%=?[^<>%\n]{1,60}%>", r"[$#@]\{[^{}\n]{1,60}\}", r"\[\[[^\[\]\n]{1,60}\]\]",
@@ -74,11 +76,12 @@ def residue(df: DataFrame, key: list[str], text: str, host: str, title: str, add
     address only weakens the host evidence. Texts of any length are read whole.
     """
     rows = df.where(F.col(text).rlike(r"\S")).select(*key, F.col(text).alias("_text"), F.col(host).alias("_host"), F.col(title).alias("_title"), F.col(address).alias("_address"))
-    unfilled = rows.where(F.col("_text").rlike(placeholder())).select(*key)
-    # only texts without a line of content can be messages; long runs of sentences are settled by the first of them
-    low = rows.where(~F.exists(_lines(F.col("_text")), _content))
+    # one pass over the texts; what remains is few: texts with a placeholder, and texts without a line of content
+    flagged = rows.withColumns({"_unfilled": F.col("_text").rlike(placeholder()), "_low": ~F.exists(_lines(F.col("_text")), _content)})
+    kept = materialise(flagged.where("_unfilled or _low"), "residue")
+    unfilled = kept.where("_unfilled").select(*key)
     lines = _lines(F.col("_text"))
-    judged = low.withColumn("_bad", F.exists(lines, lambda x: _message(x) | _filler(x)))
+    judged = kept.where("_low").withColumn("_bad", F.exists(lines, lambda x: _message(x) | _filler(x)))
     told = judged.where("_bad").select(*key)
     # unknown messages: the same text, numbers aside, under several hosts and titles that share no term with it
     masked = F.regexp_replace(F.lower(F.array_join(F.filter(lines, lambda x: ~x.rlike(r"[|/·»>]")), "\n")), r"[0-9a-f]*\d[0-9a-f]*", "#")
