@@ -43,7 +43,7 @@ LONGEST, COVER, HOSTS = 110, 0.25, 3
 
 def placeholder() -> str:
     """Pattern of a placeholder; one that stands in quotes is talked about, not left over."""
-    return rf"(?<![{QUOTES_BEFORE}])(?:" + "|".join(PLACEHOLDERS) + rf")(?![{QUOTES_AFTER}])"
+    return rf"(?=[{{$#@<\[%_【（(X×〇])(?<![{QUOTES_BEFORE}])(?:" + "|".join(PLACEHOLDERS) + rf")(?![{QUOTES_AFTER}])"
 
 
 def _lines(text: Column) -> Column:
@@ -58,7 +58,7 @@ def _message(line: Column) -> Column:
 def _filler(line: Column) -> Column:
     words = LOREM.replace(" ", "|")
     latin = line.rlike(rf"(?i)^(?:(?:{words})\b[\s,.;]*){{3,}}$")
-    named = F.length(F.regexp_replace(F.lower(line), "|".join(FILLER) + r"|[\s.。,，!！]", "")) == 0
+    named = line.rlike("(?i)^(?:" + "|".join(FILLER) + ")") & (F.length(F.regexp_replace(F.lower(line), "|".join(FILLER) + r"|[\s.。,，!！]", "")) == 0)
     again = line.rlike(r"^([^\s\d|/·_=*-]{4,24}[\s.。]*)\1{2,}$")
     return latin | named | again
 
@@ -66,7 +66,7 @@ def _filler(line: Column) -> Column:
 def _content(line: Column) -> Column:
     """A sentence that is no message, filler or cookie notice."""
     sentence = line.rlike(r"[。；]|[a-z)%]\.(?:\s|$)") | (F.length(line) > 160)
-    return sentence & ~line.rlike(COOKIE) & ~_message(line) & ~_filler(line)
+    return sentence & ~_filler(line) & ~line.rlike(COOKIE) & ~_message(line)
 
 
 def residue(df: DataFrame, key: list[str], text: str, host: str, title: str, address: str) -> DataFrame:
@@ -77,7 +77,7 @@ def residue(df: DataFrame, key: list[str], text: str, host: str, title: str, add
     """
     rows = df.where(F.col(text).rlike(r"\S")).select(*key, F.col(text).alias("_text"), F.col(host).alias("_host"), F.col(title).alias("_title"), F.col(address).alias("_address"))
     # one pass over the texts; what remains is few: texts with a placeholder, and texts without a line of content
-    flagged = rows.withColumns({"_unfilled": F.col("_text").rlike(placeholder()), "_low": ~F.exists(_lines(F.col("_text")), _content)})
+    flagged = rows.withColumns({"_unfilled": F.col("_text").rlike(placeholder()), "_low": ~F.exists(F.split("_text", "\n"), _content)})
     kept = materialise(flagged.where("_unfilled or _low"), "residue")
     unfilled = kept.where("_unfilled").select(*key)
     lines = _lines(F.col("_text"))
