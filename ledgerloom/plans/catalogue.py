@@ -1,8 +1,8 @@
 """All core queries; importing this module registers them."""
 
-from . import general  # noqa: F401
+from . import general, relational  # noqa: F401
 from .registry import CORE
 
-FLAGSHIP = "p3_found"
+FLAGSHIP = "a05_coverage_audit"
 
 __all__ = ["CORE", "FLAGSHIP"]
