@@ -10,21 +10,31 @@ BLOCK_MARKERS = ["access denied", "enable javascript", "please enable cookies",
 TRACKING = ["gclid", "fbclid", "spm", "from", "source", "ref", "share", "timestamp"]
 
 
+#: Blanks within a line, spelled out so that the JVM and SQL engines agree.
+BLANKS = r"[\t\x0b\f\r \x85\p{Z}]"
+EDGES = r"^[\t\n\x0b\f\r \x85\p{Z}]+|[\t\n\x0b\f\r \x85\p{Z}]+$"
+
+
+def strip(text: Column) -> Column:
+    """The text without blanks of any kind at its ends."""
+    return F.regexp_replace(text, EDGES, "")
+
+
 def clean_lines(text: Column) -> Column:
     """No-break spaces to spaces, zero-width spaces away, blanks collapsed in each line, blank lines dropped."""
     flat = F.regexp_replace(F.replace(text, F.lit(" "), F.lit(" ")), "​", "")
-    lines = F.transform(F.split(flat, "\n"), lambda x: F.trim(F.regexp_replace(x, r"[ \t\r\f]+", " ")))
+    lines = F.transform(F.split(flat, "\n"), lambda x: strip(F.regexp_replace(x, BLANKS + "+", " ")))
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
 def quality_gate(text: Column, least: int) -> tuple[Column, Column]:
     """(status, reason) of a page text: empty, blocked, short, without any line of prose, or usable; the first that fits."""
     t = F.coalesce(text, F.lit(""))
-    size = F.length(F.trim(t))
+    size = F.length(strip(t))
     blocked = F.lit(False)
     for m in BLOCK_MARKERS:
         blocked = blocked | F.contains(F.lower(t), F.lit(m))
-    fragments = (size > 1200) & ~F.exists(F.split(t, "\n"), lambda x: F.length(F.trim(x)) >= 30)
+    fragments = (size > 1200) & ~F.exists(F.split(t, "\n"), lambda x: F.length(strip(x)) >= 30)
     reason = F.when(size == 0, "empty_body").when(blocked, "blocked").when(size < least, "short_body").when(fragments, "fragmented").otherwise("ok")
     return F.when(reason == "ok", "usable").otherwise("remote_reader_required"), reason
 

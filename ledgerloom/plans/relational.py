@@ -379,12 +379,15 @@ def _(spark, d):
     return T(spark, d, "search_result").select("url").where("url is not null").distinct().select("url", X.canonical_url(F.col("url")).alias("canonical"))
 
 
-@Q("f03_clean_lines", "F3", r"""SELECT doc_id, md5(array_to_string(list_filter(list_transform(string_split(replace(replace(text, chr(160), ' '), chr(8203), ''), chr(10)), lambda x: trim(regexp_replace(x, '[ \t\r\f]+', ' ', 'g'))), lambda x: x <> ''), chr(10))) AS cleaned FROM documents WHERE text IS NOT NULL""")
+E = f"regexp_replace(%s, '{X.EDGES}', '', 'g')"
+
+
+@Q("f03_clean_lines", "F3", f"""SELECT doc_id, md5(array_to_string(list_filter(list_transform(string_split(replace(replace(text, chr(160), ' '), chr(8203), ''), chr(10)), lambda x: {E % ("regexp_replace(x, '" + X.BLANKS + "+', ' ', 'g')")}), lambda x: x <> ''), chr(10))) AS cleaned FROM documents WHERE text IS NOT NULL""")
 def _(spark, d):
     return T(spark, d, "documents").where("text is not null").select("doc_id", F.md5(X.clean_lines(F.col("text"))).alias("cleaned"))
 
 
-@Q("f08_quality_gate", "F8 P11", """SELECT doc_id, CASE WHEN length(trim(coalesce(text, ''))) = 0 THEN 'empty_body' WHEN """ + " OR ".join(f"contains(lower(coalesce(text, '')), '{m}')" for m in X.BLOCK_MARKERS) + """ THEN 'blocked' WHEN length(trim(text)) < 200 THEN 'short_body' WHEN length(trim(text)) > 1200 AND len(list_filter(string_split(text, chr(10)), lambda x: length(trim(x)) >= 30)) = 0 THEN 'fragmented' ELSE 'ok' END AS reason FROM documents""")
+@Q("f08_quality_gate", "F8 P11", f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, length({E % "coalesce(text, '')"}) AS n FROM documents) SELECT doc_id, CASE WHEN n = 0 THEN 'empty_body' WHEN """ + " OR ".join(f"contains(lower(t), '{m}')" for m in X.BLOCK_MARKERS) + f""" THEN 'blocked' WHEN n < 200 THEN 'short_body' WHEN n > 1200 AND len(list_filter(string_split(t, chr(10)), lambda x: length({E % "x"}) >= 30)) = 0 THEN 'fragmented' ELSE 'ok' END AS reason FROM t""")
 def _(spark, d):
     return T(spark, d, "documents").select("doc_id", X.quality_gate(F.col("text"), 200)[1].alias("reason"))
 
