@@ -40,7 +40,7 @@ def pipe_table(spark: SparkSession, path: str, columns: list[str], prefix: str =
     The row order of one small document is a total order, so numbering runs in one task.
     """
     lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("row", "line")).where("trim(line) like '|%|'")
-    cells = F.transform(F.split(F.regexp_replace(F.trim("line"), r"^\||\|$", ""), r"\|"), F.trim)
+    cells = F.transform(F.split(F.regexp_replace(F.trim("line"), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
     rows = lines.select("row", cells.alias("c")).where((F.size("c") == len(columns)) & ~F.forall("c", lambda x: x.rlike(r"^:?-+:?$")))
     numbered = rows.withColumn("n", F.row_number().over(Window.orderBy("row"))).where("n > 1")
     return numbered.select(F.format_string(prefix + "%03d", (F.col("n") - 1).cast("int")).alias("id"), *[F.col("c")[i].alias(c) for i, c in enumerate(columns)])
