@@ -47,7 +47,7 @@ def placeholder() -> str:
 
 
 def _lines(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x.rlike(r"\S"))
+    return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x.rlike(r"\S"))
 
 
 def _message(line: Column) -> Column:

@@ -173,7 +173,10 @@ def shared_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     span = F.substr(F.concat("before", "after"), F.length("before") - F.col("t") + 1, F.lit(LEAST))
     split = parts.where("large").withColumn("t", F.explode(starts)).withColumn("span", span).where(F.length("span") == LEAST)
     split = split.select("span", "doc", (F.col("pos") - F.col("t")).alias("lo"), (F.col("pos") - F.col("t") + LEAST).alias("hi"))
-    spans = trees.unionByName(split).select(F.xxhash64("span").alias("s1"), F.xxhash64("span", F.lit(1)).alias("s2"), "doc", "lo", "hi")
+    named = [F.xxhash64("span").alias("s1"), F.xxhash64("span", F.lit(1)).alias("s2"), "doc", "lo", "hi"]
+    split = split.select(*named)
+    several_docs = split.groupBy("s1", "s2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("s1", "s2")
+    spans = trees.select(*named).unionByName(split.join(several_docs, ["s1", "s2"], "left_semi"))
     return several, materialise(spans.distinct(), "spans")
 
 
