@@ -87,3 +87,45 @@ def fingerprint(*fields: tuple[str, Column]) -> Column:
     """SHA-256 of the canonical JSON of named values, whose names come sorted; null fields are kept."""
     row = F.struct(*[c.alias(n) for n, c in sorted(fields)])
     return F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
+
+
+def anchor(phrase: Column, name: Column, generic: list[str], least: int = 2) -> Column:
+    """The longest part of phrase of at least least characters that stands in name and is no generic term; the first of equals, null if none."""
+    size = F.length(phrase)
+    parts = F.flatten(
+        F.transform(F.sequence(F.lit(0), size - least), lambda cut: F.transform(F.sequence(F.lit(1), cut + 1), lambda i: F.substr(phrase, i, size - cut)))
+    )
+    fits = F.filter(parts, lambda p: F.contains(name, p) & ~p.isin(*generic))
+    return F.when(size >= least, F.get(fits, F.lit(0)))
+
+
+def linked(text: Column, thing: str, actions: list[str], span: int = 60) -> Column:
+    """Whether an action word stands within span characters of thing, in the same sentence."""
+    near = rf"[^。；\n]{{0,{span}}}"
+    words = "(?:" + "|".join(actions) + ")"
+    return text.rlike(rf"{words}{near}\Q{thing}\E|\Q{thing}\E{near}{words}")
+
+
+def scrubbed_query(query: Column, region: Column) -> Column:
+    """A search query without date words, blanks collapsed, with its region in front if it names none."""
+    plain = strip(F.regexp_replace(F.regexp_replace(query, r"\d{4}年(?:\d{1,2}月)?(?:\d{1,2}日)?|\d{4}-\d{1,2}(?:-\d{1,2})?", " "), BLANKS + "+", " "))
+    return F.when(region.isNull() | F.coalesce(F.contains(plain, region), F.lit(False)), plain).otherwise(F.concat(region, F.lit(" "), plain))
+
+
+def region_alias(region: Column) -> Column:
+    return F.regexp_replace(region, "(?:省|市|区|县|自治区)$", "")
+
+
+def normal_term(text: Column) -> Column:
+    """NFKC, lower case, letters and digits only; Spark has no normaliser, so batches go through Python."""
+    import unicodedata
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    @F.pandas_udf("string")
+    def nfkc(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield part.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+
+    return F.regexp_replace(F.lower(nfkc(text)), r"[^\p{L}\p{N}]", "")

@@ -44,3 +44,24 @@ def strength(facts: DataFrame, key: str, least_confidence: float = 0.7) -> DataF
 
     kind = facts.schema[key].dataType.simpleString()
     return facts.groupBy(key).applyInPandas(walk, f"{key} {kind}, picks bigint, status string")
+
+
+def representatives(rows: DataFrame, key: str, kind: str, source: str, order: list[str], n: int = 2) -> DataFrame:
+    """The rows of each key that stand for it, at most n, with their pick number.
+
+    Rows are taken in the given order, first those whose kind and source are new, then those whose kind or source is, then
+    any. Every pick depends on the ones before it, so the rows of a key are walked in Python.
+    """
+
+    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
+        left = list(pdf.sort_values(order).index)
+        taken: list = []
+        while left and len(taken) < n:
+            kinds, sources = ({pdf.at[i, c] for i in taken} for c in (kind, source))
+            best = min(left, key=lambda i: (pdf.at[i, kind] in kinds) + (pdf.at[i, source] in sources))
+            taken.append(best)
+            left.remove(best)
+        return pdf.loc[taken].assign(pick=range(1, len(taken) + 1))
+
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.groupBy(key).applyInPandas(pick, f"{columns}, pick bigint")

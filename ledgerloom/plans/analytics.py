@@ -113,7 +113,7 @@ def _bm25(spark, d) -> DataFrame:
     return retrieval.bm25(docs, asked)
 
 
-@Q("g15_bm25_pairs", "G15 F20 F21 J10", BM25 + " SELECT query_id, doc_id, round(score, 4) AS score, round(coverage, 4) AS coverage FROM s")
+@Q("g15_bm25_pairs", "G15 F20 J10", BM25 + " SELECT query_id, doc_id, round(score, 4) AS score, round(coverage, 4) AS coverage FROM s")
 def _(spark, d):
     return _bm25(spark, d).select("query_id", "doc_id", F.round("score", 4).alias("score"), F.round("coverage", 4).alias("coverage"))
 
@@ -134,7 +134,7 @@ def _(spark, d):
     return evidence.matched(pages.select("page_id", "text"), quotes, "page_id").select("quote_id", "form").distinct()
 
 
-@Q("g09_evidence_strength", "G9 A21 W7 W8")
+@Q("g09_evidence_strength", "G9 A21")
 def _(spark, d):
     r = T(spark, d, "search_result").where("task_id is not null").dropDuplicates(["result_id"])
     facts = r.select(

@@ -1,6 +1,6 @@
 """All core queries; importing this module registers them."""
 
-from . import analytics, general, relational  # noqa: F401
+from . import analytics, general, pipeline, relational  # noqa: F401
 from .registry import CORE
 
 FLAGSHIP = "a05_coverage_audit"

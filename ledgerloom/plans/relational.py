@@ -132,19 +132,19 @@ def _(spark, d):
     return j.select(F.col("a.track_id").alias("track_a"), F.col("b.track_id").alias("track_b"), "a.topic_id", (F.col("a.offering_family") == F.col("b.offering_family")).alias("same_family")).distinct()
 
 
-@Q("p15_identity_normalise", "P15 W2 F12 P20", """SELECT track_id, name FROM (SELECT *, row_number() OVER (PARTITION BY replace(lower(regexp_replace(name, '[^\\p{L}\\p{N}_]', '', 'g')), 'ß', 'ss') ORDER BY track_id) AS rn FROM track WHERE len(topic_ids) > 0 AND NOT contains(name, '政策')) WHERE rn = 1""")
+@Q("p15_identity_normalise", "P15 W2 F12", """SELECT track_id, name FROM (SELECT *, row_number() OVER (PARTITION BY replace(lower(regexp_replace(name, '[^\\p{L}\\p{N}_]', '', 'g')), 'ß', 'ss') ORDER BY track_id) AS rn FROM track WHERE len(topic_ids) > 0 AND NOT contains(name, '政策')) WHERE rn = 1""")
 def _(spark, d):
     t = T(spark, d, "track").where((F.size("topic_ids") > 0) & ~F.col("name").contains("政策"))
     return R.first_seen(t, X.identity_form(F.col("name")), [F.col("track_id")]).select("track_id", "name")
 
 
-@Q("p16_region_in_name", "P16 F14", """SELECT DISTINCT s.task_id, s.region IS NOT NULL AND contains(s.query, s.region) AS regional FROM search_task s""")
+@Q("p16_region_in_name", "P16", """SELECT DISTINCT s.task_id, s.region IS NOT NULL AND contains(s.query, s.region) AS regional FROM search_task s""")
 def _(spark, d):
     hit = F.col("region").isNotNull() & F.coalesce(F.contains("query", "region"), F.lit(False))
     return T(spark, d, "search_task").select("task_id", hit.alias("regional")).distinct()
 
 
-@Q("p17_unknown_members", "P17 P23 P24 U1", """SELECT k.track_id, count(u.t) FILTER (WHERE NOT EXISTS (SELECT 1 FROM topic a WHERE a.status = 'active' AND a.topic_id = u.t)) AS ignored FROM track k LEFT JOIN (SELECT track_id, unnest(topic_ids) AS t FROM track) u ON u.track_id = k.track_id GROUP BY k.track_id""")
+@Q("p17_unknown_members", "P17 U1", """SELECT k.track_id, count(u.t) FILTER (WHERE NOT EXISTS (SELECT 1 FROM topic a WHERE a.status = 'active' AND a.topic_id = u.t)) AS ignored FROM track k LEFT JOIN (SELECT track_id, unnest(topic_ids) AS t FROM track) u ON u.track_id = k.track_id GROUP BY k.track_id""")
 def _(spark, d):
     known = T(spark, d, "topic").where("status = 'active'").select("topic_id")
     m = T(spark, d, "track").select("track_id", F.explode_outer("topic_ids").alias("topic_id")).where("topic_id is not null")
@@ -171,7 +171,7 @@ def _(spark, d):
     return T(spark, d, "orders").join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy("n_name").agg(F.count_distinct("o_orderkey").alias("candidates"))
 
 
-@Q("j03_six_way_chain", "J3 J16 G19", """SELECT r_name, cast(sum(l_quantity) AS DOUBLE) AS qty, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) rn FROM lineitem) l JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE rn = 1 GROUP BY r_name""")
+@Q("j03_six_way_chain", "J3 J16", """SELECT r_name, cast(sum(l_quantity) AS DOUBLE) AS qty, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) rn FROM lineitem) l JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE rn = 1 GROUP BY r_name""")
 def _(spark, d):
     first = R.latest_per_key(T(spark, d, "lineitem"), ["l_orderkey"], [F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")]).select("l_orderkey", "l_quantity")
     j = first.join(T(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(T(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -199,7 +199,7 @@ def _(spark, d):
     return m.groupBy("track_id").agg(F.array_join(F.transform(items, lambda x: x["label"]), "|").alias("labels"))
 
 
-@Q("j17_decision_overlay", "J17 F30 F33", """SELECT DISTINCT s.result_id, CASE WHEN p.http_status >= 400 THEN 'NOT_MATCH' WHEN s.decision = 'keep' THEN 'MATCH' WHEN p.page_id IS NULL THEN 'UNRESOLVED' ELSE coalesce(upper(nullif(s.decision, '')), 'UNRESOLVED') END AS final_status
+@Q("j17_decision_overlay", "J17 F30", """SELECT DISTINCT s.result_id, CASE WHEN p.http_status >= 400 THEN 'NOT_MATCH' WHEN s.decision = 'keep' THEN 'MATCH' WHEN p.page_id IS NULL THEN 'UNRESOLVED' ELSE coalesce(upper(nullif(s.decision, '')), 'UNRESOLVED') END AS final_status
 FROM (SELECT DISTINCT result_id, decision FROM search_result) s LEFT JOIN (SELECT result_id, min(page_id) AS page_id, max(http_status) AS http_status FROM remote_page_result GROUP BY result_id) p ON p.result_id = s.result_id""")
 def _(spark, d):
     s = T(spark, d, "search_result").select("result_id", "decision").distinct()
@@ -255,7 +255,7 @@ def _(spark, d):
     return R.rollup_status(T(spark, d, "search_task"), "plan_id", "status")
 
 
-@Q("a10_usage_sum", "A10 S13", """SELECT model, key AS usage_key, sum(value)::BIGINT AS total FROM (SELECT model, unnest(map_entries(usage)) AS e FROM remote_page_result), LATERAL (SELECT e.key AS key, e.value AS value) GROUP BY model, key""")
+@Q("a10_usage_sum", "A10", """SELECT model, key AS usage_key, sum(value)::BIGINT AS total FROM (SELECT model, unnest(map_entries(usage)) AS e FROM remote_page_result), LATERAL (SELECT e.key AS key, e.value AS value) GROUP BY model, key""")
 def _(spark, d):
     return T(spark, d, "remote_page_result").select("model", F.explode("usage").alias("usage_key", "v")).groupBy("model", "usage_key").agg(F.sum("v").alias("total"))
 
@@ -296,7 +296,7 @@ def _(spark, d):
     return T(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("batches"))
 
 
-@Q("a19_province_summary", "A19 J14", """SELECT region, count(DISTINCT task_id) AS tasks, count(DISTINCT plan_id) AS plans FROM (SELECT coalesce(region, 'unmapped') AS region, task_id, plan_id FROM search_task) GROUP BY region""")
+@Q("a19_province_summary", "A19", """SELECT region, count(DISTINCT task_id) AS tasks, count(DISTINCT plan_id) AS plans FROM (SELECT coalesce(region, 'unmapped') AS region, task_id, plan_id FROM search_task) GROUP BY region""")
 def _(spark, d):
     return T(spark, d, "search_task").groupBy(F.coalesce("region", F.lit("unmapped")).alias("region")).agg(F.count_distinct("task_id").alias("tasks"), F.count_distinct("plan_id").alias("plans"))
 
@@ -360,7 +360,7 @@ def _(spark, d):
     return T(spark, d, "part").orderBy(F.desc("p_retailprice"), "p_partkey").limit(30).orderBy(F.lower("p_name"), "p_partkey").select("p_partkey", "p_name")
 
 
-@Q("u01_unassigned", "U1 G17", "SELECT topic_id FROM topic EXCEPT SELECT unnest(topic_ids) FROM track")
+@Q("u01_unassigned", "U1", "SELECT topic_id FROM topic EXCEPT SELECT unnest(topic_ids) FROM track")
 def _(spark, d):
     return T(spark, d, "topic").select("topic_id").subtract(T(spark, d, "track").select(F.explode("topic_ids").alias("topic_id")))
 
@@ -397,7 +397,7 @@ def _(spark, d):
     return T(spark, d, "search_result").where("snippet is not null").select("result_id", F.md5(X.evidence_form(F.col("snippet"))).alias("form")).distinct()
 
 
-@Q("f11_material_numbers", "F11 P12", r"""SELECT doc_id, cast(len(list_distinct(regexp_extract_all(text, '\d+(?:\.\d+)?(?:%|万元|亿元|百万元|台|家|小时|million)'))) AS BIGINT) AS numbers FROM documents WHERE text IS NOT NULL""")
+@Q("f11_material_numbers", "F11", r"""SELECT doc_id, cast(len(list_distinct(regexp_extract_all(text, '\d+(?:\.\d+)?(?:%|万元|亿元|百万元|台|家|小时|million)'))) AS BIGINT) AS numbers FROM documents WHERE text IS NOT NULL""")
 def _(spark, d):
     return T(spark, d, "documents").where("text is not null").select("doc_id", F.size(X.material_numbers(F.col("text"))).cast("bigint").alias("numbers"))
 
@@ -407,12 +407,12 @@ def _(spark, d):
     return T(spark, d, "documents").where("text is not null").select("doc_id", F.md5(X.clipped(F.col("text"), 200)).alias("clipped"))
 
 
-@Q("f16_expand_scope", "F16 F15", """SELECT plan_id, array_to_string(list_distinct_ordered, '|') AS scopes FROM (SELECT plan_id, list_filter(list_transform(range(1, len(industry_scopes) + 1), lambda i: CASE WHEN list_position(industry_scopes, industry_scopes[i]) = i THEN industry_scopes[i] END), lambda x: x IS NOT NULL) AS list_distinct_ordered FROM research_plan)""")
+@Q("f16_expand_scope", "F16", """SELECT plan_id, array_to_string(list_distinct_ordered, '|') AS scopes FROM (SELECT plan_id, list_filter(list_transform(range(1, len(industry_scopes) + 1), lambda i: CASE WHEN list_position(industry_scopes, industry_scopes[i]) = i THEN industry_scopes[i] END), lambda x: x IS NOT NULL) AS list_distinct_ordered FROM research_plan)""")
 def _(spark, d):
     return T(spark, d, "research_plan").select("plan_id", F.array_join(F.array_distinct("industry_scopes"), "|").alias("scopes"))
 
 
-@Q("f18_status_normalise", "F18 F19 F32", """SELECT c_custkey, trim(replace(c_name, '#', ' ')) AS name, CASE WHEN c_acctbal < 0 THEN 'excluded' WHEN c_acctbal < 1000 THEN 'review' ELSE 'eligible' END AS eligibility FROM customer""")
+@Q("f18_status_normalise", "F18 F19", """SELECT c_custkey, trim(replace(c_name, '#', ' ')) AS name, CASE WHEN c_acctbal < 0 THEN 'excluded' WHEN c_acctbal < 1000 THEN 'review' ELSE 'eligible' END AS eligibility FROM customer""")
 def _(spark, d):
     e = F.when(F.col("c_acctbal") < 0, "excluded").when(F.col("c_acctbal") < 1000, "review").otherwise("eligible")
     return T(spark, d, "customer").select("c_custkey", F.trim(F.replace(F.col("c_name"), F.lit("#"), F.lit(" "))).alias("name"), e.alias("eligibility"))
@@ -427,7 +427,7 @@ def _(spark, d):
     return t.join(df, "term").crossJoin(F.broadcast(n)).select("p_partkey", "term", F.round((F.log((F.col("n") + 1.0) / (F.col("df") + 1)) + 1) * 6, 4).alias("weight"))  # one row
 
 
-@Q("f28_evidence_grade", "F28 F29", """SELECT o_orderkey, CASE WHEN count(l_linenumber) >= 5 AND count(DISTINCT l_suppkey) >= 3 THEN 'A' WHEN count(l_linenumber) >= 3 THEN 'B' WHEN count(l_linenumber) >= 1 THEN 'C' ELSE 'D' END AS grade FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
+@Q("f28_evidence_grade", "F28", """SELECT o_orderkey, CASE WHEN count(l_linenumber) >= 5 AND count(DISTINCT l_suppkey) >= 3 THEN 'A' WHEN count(l_linenumber) >= 3 THEN 'B' WHEN count(l_linenumber) >= 1 THEN 'C' ELSE 'D' END AS grade FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
 def _(spark, d):
     l = T(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.count_distinct("l_suppkey").alias("s"))
     o = T(spark, d, "orders").select("o_orderkey").join(l, F.col("o_orderkey") == F.col("l_orderkey"), "left")

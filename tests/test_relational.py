@@ -93,3 +93,16 @@ def test_external_calls_only_what_is_missing(spark):
 def test_quality_gate(spark):
     df = spark.createDataFrame([(None,), ("　 ",), ("Please Enable JavaScript",), ("short",), ("word\n" * 400,), ("A long line of prose that is fine.\n" * 10,)], "t string")
     assert [r[0] for r in df.select(X.quality_gate(F.col("t"), 50)[1]).collect()] == ["empty_body", "empty_body", "blocked", "short_body", "fragmented", "ok"]
+
+
+def test_representatives_are_diverse(spark):
+    rows = [("t", 1, "a", "x"), ("t", 2, "a", "y"), ("t", 3, "b", "x"), ("t", 4, "b", "z"), ("u", 5, None, None)]
+    df = spark.createDataFrame(rows, "k string, id int, kind string, src string")
+    assert {(r.k, r.id, r.pick) for r in evidence.representatives(df, "k", "kind", "src", ["id"]).collect()} == {("t", 1, 1), ("t", 4, 2), ("u", 5, 1)}
+
+
+def test_anchor_and_link(spark):
+    df = spark.createDataFrame([("微型逆变器系统", "海上逆变器系统集成"), ("系统", "系统"), (None, "x"), ("a", "a")], "p string, n string")
+    assert [r[0] for r in df.select(X.anchor(F.col("p"), F.col("n"), ["系统"])).collect()] == ["逆变器系统", None, None, None]
+    df = spark.createDataFrame([("采购了一批机器人",), ("采购。机器人",), (None,)], "t string")
+    assert [r[0] for r in df.select(X.linked(F.col("t"), "机器人", ["采购"])).collect()] == [True, False, None]
