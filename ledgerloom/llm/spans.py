@@ -158,7 +158,7 @@ def shared_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     long = texts.where((F.length("text") >= LEAST) & F.col("text").rlike(r"\S"))
     ids = long.select("doc", F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2"))
-    several = ids.join(ids.groupBy("h1", "h2").agg(F.min("doc").alias("rep"), F.count("*").alias("n")).where("n > 1"), ["h1", "h2"]).select("doc", "rep")
+    several = ids.join(ids.groupBy("h1", "h2").agg(F.min("doc").alias("rep"), F.max("doc").alias("last")).where("rep < last"), ["h1", "h2"]).select("doc", "rep").distinct()
     single = long.join(several.where("doc != rep").select("doc"), "doc", "left_anti").select("doc", "text")
     found = single.mapInArrow(_anchored, "h bigint, doc bigint, pos int").repartition("h")
     again = found.groupBy("h").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n")).where("first < last")
