@@ -27,7 +27,9 @@ def test_neardup(spark):
     base = [words(rng, 30) for _ in range(40)]
     texts = base + [edited(rng, t, rng.randint(1, 14)) for t in base for _ in range(2)] + [base[0], base[0], None, "", "ab", "   "]
     rows = [(2 * i + (i % 5 == 0), t) for i, t in enumerate(texts)]
-    pairs = neardup.expanded(*neardup.similar_classes(spark.createDataFrame(rows, "uid bigint, text string"), 0.7))
+    classes, links = neardup.similar_classes(spark.createDataFrame(rows + rows[:9], "uid bigint, text string"), 0.7)
+    assert all(r.a < r.b for r in links.collect()) and links.count() == links.select("a", "b").distinct().count()
+    pairs = neardup.expanded(classes, links)
     got = {(r.a, r.b) for r in pairs.collect()}
     g = {u: {t[i : i + 5] for i in range(len(t) - 4)} for u, t in rows if t is not None}
     same = {(a, b): len(g[a] & g[b]) / max(1, len(g[a] | g[b])) for a, b in itertools.combinations(sorted(g), 2) if a % 2 == b % 2}
