@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -118,11 +122,6 @@ def region_alias(region: Column) -> Column:
 
 def normal_term(text: Column) -> Column:
     """NFKC, lower case, letters and digits only; Spark has no normaliser, so batches go through Python."""
-    import unicodedata
-    from collections.abc import Iterator
-
-    import pandas as pd
-
     @F.pandas_udf("string")
     def nfkc(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
