@@ -27,8 +27,8 @@ IN_WORD = 64 // KEPT
 #: Words of a signature that are compared.
 WORDS = 8
 TOLERANCE = 5e-4
-#: Classes of a band value that are paired at once; larger groups are split by a second band first.
-GROUP = 512
+#: Classes of a band value that are paired at once; larger groups are cut into blocks of about BLOCK times as many, and each two blocks are paired.
+GROUP, BLOCK = 512, 4
 
 
 @lru_cache
@@ -90,8 +90,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("uid"), lists(key), lists(words)], ["uid", "keys", "words"])
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of the classes that share a key, from rows sorted by key; rows of groups of more than GROUP come out as (uid, null, key)."""
+def _pairs(batches: Iterator[pa.RecordBatch], group: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of the classes that share a key, from rows sorted by key; rows of groups of more than group come out as (uid, null, key)."""
 
     def out(a: np.ndarray, b: np.ndarray | None, key: np.ndarray | None) -> pa.RecordBatch:
         none = pa.nulls(len(a), pa.int64())
@@ -109,9 +109,9 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.diff(np.concatenate([start, [len(k)]]))
         last = start[-1]
         # the group at the end may go on in the next batch, unless it is known to be large already
-        open_hot = size[-1] > GROUP or k[last] == hot
+        open_hot = size[-1] > group or k[last] == hot
         done = np.arange(len(size)) < len(size) - (not open_hot)
-        large = done & ((size > GROUP) | (k[start] == hot))
+        large = done & ((size > group) | (k[start] == hot))
         if large.any():
             rows = np.concatenate([np.arange(s, s + n) for s, n in zip(start[large], size[large], strict=True)])
             yield out(u[rows], None, k[rows])
@@ -134,6 +134,37 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(np.minimum(a, b), np.maximum(a, b), None)
 
 
+def _block_pairs(t: pa.Table, least: list[int]) -> pa.Table:
+    """Pairs of one block of a large group, or of two blocks of it, that stay by their words."""
+    uid, at = np.unique(t["a"].to_numpy(), return_index=True)  # a record may be delivered twice
+    words = t["words"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)[at]
+    own, i, j = t["own"].to_numpy()[at], t["i"][0].as_py(), t["j"][0].as_py()
+    x, y = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    ones = np.uint64(int("1" * IN_WORD, 2**KEPT))
+
+    def same(v: np.ndarray) -> np.ndarray:
+        v = v | v >> np.uint64(1)
+        return IN_WORD - np.bitwise_count((v | v >> np.uint64(2)) & ones).astype(np.int16)
+
+    got_a, got_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for s in range(0, len(x), 256):  # bounds what is held at once
+        part = x[s : s + 256]
+        seen = same(words[part, 0][:, None] ^ words[y, 0][None, :])
+        keep = seen >= least[0]
+        if i == j:
+            keep &= part[:, None] < y[None, :]
+        r, c = np.nonzero(keep)
+        a, b, seen = part[r], y[c], seen[r, c]
+        for w in range(1, WORDS):
+            seen = seen + same(words[a, w] ^ words[b, w])
+            stays = seen >= least[w]
+            a, b, seen = a[stays], b[stays], seen[stays]
+        got_a.append(uid[a])
+        got_b.append(uid[b])
+    a, b = np.concatenate(got_a), np.concatenate(got_b)
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
 def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     kept: dict[int, set[str]] = {}
 
@@ -174,16 +205,20 @@ def similar_classes(texts: DataFrame, threshold: float) -> tuple[DataFrame, Data
     single = texts.where(F.length("text") >= GRAM).select("uid", "text").join(copies, "uid", "left_anti")
     once = materialise(single.mapInArrow(_signatures, "uid bigint, keys array<bigint>, words array<bigint>"), "signatures")
     rows = once.select("uid", F.explode("keys").alias("key"))
-    proposed = rows.repartition("key").sortWithinPartitions("key", "uid").mapInArrow(_pairs, "a bigint, b bigint, hot bigint")
+    group, least = GROUP, least_matches(threshold, TOLERANCE)
+    proposed = rows.repartition("key").sortWithinPartitions("key", "uid").mapInArrow(lambda x: _pairs(x, group), "a bigint, b bigint, hot bigint")
     proposed = materialise(proposed, "proposed")
-    # a group that is too large to be paired: its rows are parted again by each other band
-    hot = proposed.where("hot is not null").select("a", "hot").join(once.select(F.col("uid").alias("a"), "keys"), "a")
-    finer = hot.select("a", F.explode("keys").alias("other"), "hot").where("other != hot").select("a", F.xxhash64("hot", "other").alias("key")).distinct()
-    again = finer.join(finer.withColumnRenamed("a", "b"), "key").where("a < b").select("a", "b")
-    pairs = proposed.where("hot is null").select("a", "b").unionByName(again).distinct()
+    # a group that is too large to be paired at once: each of its rows goes to all pairs of blocks that its own block is in
+    hot = proposed.where("hot is not null").select("a", "hot").distinct()
+    blocks = hot.groupBy("hot").agg(F.ceil(F.count("*") / (group * BLOCK)).cast("int").alias("n"))
+    placed = hot.join(blocks, "hot").withColumn("own", F.pmod(F.xxhash64("a"), F.col("n")).cast("int")).join(once.select(F.col("uid").alias("a"), "words"), "a")
+    placed = placed.select("hot", "a", "own", "words", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
+    placed = placed.select("hot", "a", "own", "words", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    in_blocks = placed.groupBy("hot", "i", "j").applyInArrow(lambda t: _block_pairs(t, least), "a bigint, b bigint")
+    pairs = proposed.where("hot is null").select("a", "b").distinct()
     words = once.select("uid", "words")
     compared = pairs.join(words.select(F.col("uid").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("uid").alias("b"), F.col("words").alias("wb")), "b")
-    survivors = compared.where(_stays(threshold)).select("a", "b").distinct()
+    survivors = compared.where(_stays(threshold)).select("a", "b").unionByName(in_blocks).distinct()
     plain = texts.select("uid", "text")
     full = survivors.join(plain.select(F.col("uid").alias("a"), F.col("text").alias("text_a")), "a").join(plain.select(F.col("uid").alias("b"), F.col("text").alias("text_b")), "b")
     links = full.select("a", "b", "text_a", "text_b").mapInArrow(lambda x: _verified(x, threshold), "a bigint, b bigint, similarity double").distinct()

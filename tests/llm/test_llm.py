@@ -5,6 +5,7 @@ import random
 import string
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,28 @@ def test_large_groups_lose_no_link(spark, monkeypatch, group):
     assert {(r.a, r.b) for r in links.collect()} == want
 
 
+def test_large_groups_are_paired_by_one_shared_band(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 0.25, raising=False)
+    rng = random.Random(1)
+    base = words(rng, 20)
+    rows = [(2 * i, edited(rng, base, 1 + i % 2)) for i in range(530)]
+    signatures = neardup._signatures
+
+    def one_band(batches):  # all records share the first band, and no other
+        for b in signatures(batches):
+            keys = np.array(b.column("keys").to_pylist()).reshape(-1, neardup.BANDS)
+            keys[:] = b.column("uid").to_numpy()[:, None] * 100 + np.arange(neardup.BANDS)
+            keys[:, 0] = -7
+            yield b.set_column(1, "keys", pa.array(keys.tolist(), pa.list_(pa.int64())))
+
+    monkeypatch.setattr(neardup, "_signatures", one_band)
+    pairs = neardup.expanded(*neardup.similar_classes(spark.createDataFrame(rows + rows[:4], "uid bigint, text string"), 0.7))
+    g = {u: {t[i : i + 5] for i in range(len(t) - 4)} for u, t in rows}
+    want = {(a, b) for a, b in itertools.combinations(sorted(g), 2) if len(g[a] & g[b]) / len(g[a] | g[b]) >= 0.7}
+    got = {(r.a, r.b) for r in pairs.collect()}
+    assert len(want) > 100_000 and got <= want and len(want - got) <= 1e-3 * len(want)
+
+
 @pytest.mark.parametrize("part", [3, 4000])
 def test_spans(spark, monkeypatch, part):
     monkeypatch.setattr(spans, "PART", part)
