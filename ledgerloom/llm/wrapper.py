@@ -30,8 +30,6 @@ KEYS = 6
 GROUP, PARTNERS = 100, 4
 #: Chance that an article's key is missing from all frameless pages although it may stand there.
 CHANCE = 1e-4
-#: The key under which pages are counted.
-ALL = np.array([0x5BD1E995_1B873593 >> 1], dtype=np.int64)
 SENTENCE = re.compile(r"。|；|[a-z0-9)%]\.(?:\s|$)|[a-z]; ")
 NAV = re.compile(r"\s*[|/·»>＞]\s*|　+|\s{2,}")
 NUMBER = re.compile(r"\d[\d,.]*")
@@ -152,7 +150,7 @@ class Counts:
 
     def __init__(self, slots: int, table: np.ndarray | None = None) -> None:
         self.slots = slots
-        self.table = np.zeros(slots, dtype=np.uint16) if table is None else table
+        self.table = np.zeros(slots, dtype=np.uint32) if table is None else table
 
     def _at(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return keys & (self.slots - 1), (keys >> 31) & (self.slots - 1)
@@ -160,36 +158,38 @@ class Counts:
     def add(self, keys: np.ndarray) -> None:
         """One for each of the keys, which must be distinct."""
         for at in self._at(keys):
-            self.table[at] += self.table[at] < 65535
+            self.table[at] += 1
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         a, b = self._at(keys)
         return np.minimum(self.table[a], self.table[b]).astype(np.int64)
 
 
-def _sum(df: DataFrame, slots: int, columns: list[str]) -> dict[str, Counts]:
-    """Sums of tables of counters that come in blocks; each sum stops at 65535."""
+def _sum(df: DataFrame, slots: int, columns: list[str], totals: list[str]) -> tuple[dict[str, Counts], dict[str, int]]:
+    """Sums of tables of counters that come in blocks, and of plain totals."""
 
     def add(t: pa.Table) -> pa.Table:
         out = {"block": t["block"].slice(0, 1)}
         for c in columns:
             total = np.zeros(slots // BLOCKS, dtype=np.uint32)
-            for x in t[c].to_pylist():
-                total += np.frombuffer(x, dtype=np.uint16)
-            out[c] = pa.array([np.minimum(total, 65535).astype(np.uint16).tobytes()], pa.binary())
-        return pa.table(out)
+            for x in t[c]:
+                total += np.frombuffer(x.as_buffer(), dtype=np.uint32)
+            out[c] = pa.array([total.tobytes()], pa.binary())
+        return pa.table(out | {c: pa.array([sum(t[c].to_pylist())], pa.int64()) for c in totals})
 
-    schema = "block int, " + ", ".join(f"{c} binary" for c in columns)
+    schema = "block int, " + ", ".join([f"{c} binary" for c in columns] + [f"{c} bigint" for c in totals])
     rows = df.groupBy("block").applyInArrow(add, schema).toArrow().sort_by("block")
-    return {c: Counts(slots, np.frombuffer(b"".join(rows[c].to_pylist()) or bytes(slots * 2), dtype=np.uint16)) for c in columns}
+    tables = {c: Counts(slots, np.frombuffer(b"".join(rows[c].to_pylist()) or bytes(slots * 4), dtype=np.uint32)) for c in columns}
+    return tables, {c: sum(rows[c].to_pylist()) for c in totals}
 
 
-def _blocks(tables: list[Counts]) -> Iterator[pa.RecordBatch]:
-    """The tables block by block, so that no second copy of them is held."""
-    names = ["block", *(f"t{i}" for i in range(len(tables)))]
+def _blocks(tables: list[Counts], totals: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    """The tables block by block, so that no second copy of them is held; the totals go with the first block."""
+    names = ["block", *(f"t{i}" for i in range(len(tables))), *totals]
     for n in range(BLOCKS):
         part = [t.table.reshape(BLOCKS, -1)[n].tobytes() for t in tables]
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), *(pa.array([x], pa.binary()) for x in part)], names)
+        own = [pa.array([0 if n else x], pa.int64()) for x in totals.values()]
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), *(pa.array([x], pa.binary()) for x in part), *own], names)
 
 
 def _lines_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -240,12 +240,13 @@ def site_lines(pages: DataFrame) -> DataFrame:
             for _, k, f in _lines_of(b):
                 seen.add(_real(k))
                 edge.add(_real(k[f & 2 > 0]))
-        yield from _blocks([seen, edge])
+        yield from _blocks([seen, edge], {})
 
-    first = spark.sparkContext.broadcast(_sum(trees.mapInArrow(count, "block int, t0 binary, t1 binary"), slots, ["t0", "t1"]))
+    first = spark.sparkContext.broadcast(_sum(trees.mapInArrow(count, "block int, t0 binary, t1 binary"), slots, ["t0", "t1"], [])[0])
 
     def frameless(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, edge, bare, head = first.value["t0"], first.value["t1"], Counts(slots), Counts(slots)
+        totals = {"pages": 0, "frameless": 0}
         for b in batches:
             for _, k, f in _lines_of(b):
                 follows, own = _real(k[_follows(f), :3]), _real(k)
@@ -253,19 +254,21 @@ def site_lines(pages: DataFrame) -> DataFrame:
                 plain = _real(k[f & 4 == 0, 1])
                 n = seen.of(plain)
                 framed = (f & 18 > 0).any() or ((n >= 12) & (edge.of(plain) >= 0.5 * n)).any()
-                head.add(ALL)
+                totals["pages"] += 1
                 if not framed and len(f) and f[0] & 32:
                     # keys that don't recur would only fill the table
                     bare.add(own[seen.of(own) >= 3])
-                    bare.add(ALL)
-        yield from _blocks([bare, head])
+                    totals["frameless"] += 1
+        yield from _blocks([bare, head], totals)
 
-    second = spark.sparkContext.broadcast(_sum(trees.mapInArrow(frameless, "block int, t0 binary, t1 binary"), slots, ["t0", "t1"]))
+    tables, totals = _sum(trees.mapInArrow(frameless, "block int, t0 binary, t1 binary, pages bigint, frameless bigint"), slots, ["t0", "t1"], ["pages", "frameless"])
+    second = spark.sparkContext.broadcast(tables)
+    del tables
+    share = min(0.9, max(0.02, totals["frameless"] / max(1, totals["pages"])))
+    least = max(6, math.ceil(math.log(CHANCE) / math.log(1 - share)))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, edge, bare, head = first.value["t0"], first.value["t1"], second.value["t0"], second.value["t1"]
-        share = min(0.9, max(0.02, int(bare.of(ALL)[0]) / max(1, int(head.of(ALL)[0]))))
-        least = max(6, math.ceil(math.log(CHANCE) / math.log(1 - share)))
         for b in batches:
             out_id, out_no = [], []
             for i, k, f in _lines_of(b):

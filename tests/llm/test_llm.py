@@ -212,3 +212,13 @@ def test_wrapper(spark):
 def test_matching_is_simple_tree_matching():
     a, b = [[1, 2, 3], [4, 5]], [[9], [2, 3], [5, 6]]
     assert wrapper.matching(a, b) == {(0, 1), (0, 2), (1, 1)}
+
+
+def test_counts_go_on_beyond_16_bits(spark):
+    c, key = wrapper.Counts(1 << 10), np.array([12345678901234567], dtype=np.int64)
+    for _ in range(70_000):
+        c.add(key)
+    assert c.of(key)[0] == 70_000
+    parts = spark.range(0, 2, 1, 2).mapInArrow(lambda batches: [list(batches), *wrapper._blocks([c], {"pages": 70_000})][1:], "block int, t0 binary, pages bigint")
+    tables, totals = wrapper._sum(parts, 1 << 10, ["t0"], ["pages"])
+    assert tables["t0"].of(key)[0] == totals["pages"] == 140_000
