@@ -130,8 +130,9 @@ def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, host, text) of the pages that carry content."""
     pages = table(spark, sf_dir, "remote_page_result").where("page_id is not null")
-    rows = pages.select(F.lit("remote_page_result").alias("src"), "page_id", "site", "url", "extracted_text", F.lit(None).cast("string").alias("title"))
-    bad = materialise(residue(rows, ["page_id"], "extracted_text", "site", "title", "url"), "residue-pages")
+    # the rows of p6_found, since hosts and titles of all records are evidence
+    found = residue(_residue_rows(spark, sf_dir), ["src", "row_key"], "text", "host", "title", "url")
+    bad = materialise(found.where("src = 'remote_page_result'").select(F.col("row_key").alias("page_id")), "residue-pages")
     return pages.join(bad, "page_id", "left_anti").select(F.col("page_id").alias("id"), F.col("site").alias("host"), F.col("extracted_text").alias("text"))
 
 

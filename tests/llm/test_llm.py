@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixture, neardup, residue, scans, spans, tokens, vectors, wrapper
+from ledgerloom.llm import mixture, neardup, queries, residue, scans, spans, tokens, vectors, wrapper
 
 
 def words(rng, n):
@@ -222,3 +222,12 @@ def test_counts_go_on_beyond_16_bits(spark):
     parts = spark.range(0, 2, 1, 2).mapInArrow(lambda batches: [list(batches), *wrapper._blocks([c], {"pages": 70_000})][1:], "block int, t0 binary, pages bigint")
     tables, totals = wrapper._sum(parts, 1 << 10, ["t0"], ["pages"])
     assert tables["t0"].of(key)[0] == totals["pages"] == 140_000
+
+
+def test_wrapper_leaves_out_the_pages_of_residue(spark, tmp_path):
+    rows = [(i, i, f"http://h{i}/news/x", f"h{i}", "Nothing lives here today", f"pumps for plant {c}") for i, c in enumerate("abcdef")] + [(9, 9, "http://h9/x", "h9", "The plant opened.", "Plant")]
+    df = spark.createDataFrame(rows, "page_id bigint, result_id bigint, url string, site string, extracted_text string, title string")
+    df.drop("title").write.parquet(f"{tmp_path}/remote_page_result.parquet")
+    df.select("result_id", "title", "url", F.lit(None).cast("string").alias("snippet")).write.parquet(f"{tmp_path}/search_result.parquet")
+    bad = {r.row_key for r in queries.p6_found(spark, str(tmp_path)).where("src = 'remote_page_result'").collect()}
+    assert bad == set(range(6)) and {r.id for r in queries._pages(spark, str(tmp_path)).collect()} == {9}
