@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,8 +19,6 @@ LITERAL = r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\""
 OPEN, CLOSE, ESCAPE = "", "", ""
 #: Most pieces that are put together again to one catalogue value.
 MOST_JOINED = 4
-#: Pieces up to which all readings of a cell are compared; longer cells are read from the left.
-LONG_CELL = 120
 
 
 def trimmed(c: Column) -> Column:
@@ -64,56 +63,77 @@ def readings(tokens: list[str], delims: list[str], known: set[tuple[int, int]],
     A reading takes some kinds of separator as separators and the rest as text. Pieces parted by a taken
     separator are put together again only to a catalogue value. Best is: as many values as expected (if
     given), then fewest unknown values with separator signs in them, fewest unknown values, fewest kinds
-    of separator, fewest values put together, most values.
+    of separator, fewest values put together, most values. One rule holds for cells of any length: states keep
+    their cost and where they come from, and the number of values is part of a state only if one is expected.
     """
     n = len(tokens)
     if n == 1:
         return [(0, 0)] if tokens[0] else []
     kinds = sorted(set(delims))
     blank = [not t for t in tokens]
-    joins = {i: max(j for a, j in known if a == i) for i, j in known if j > i}
+    longer: dict[int, list[int]] = {}
+    for i, j in known:
+        if j > i:
+            longer.setdefault(i, []).append(j)
     plain = [(i, i) for i in range(n) if not blank[i]]
-    if len(kinds) == 1 and not joins and (expected is None or expected == len(plain)):
+    if len(kinds) == 1 and not longer and (expected is None or expected == len(plain)):
         return plain
-    if n > LONG_CELL:  # every separator parts values, save inside the longest catalogue values from the left
-        out, i = [], 0
-        while i < n:
-            j = joins.get(i, i)
-            out += [(i, j)] if j > i or not blank[i] else []
-            i = j + 1
-        return out
-    best = None
-    subsets = range(1 << len(kinds)) if len(kinds) <= 6 else [0, (1 << len(kinds)) - 1, *(1 << i for i in range(len(kinds)))]
-    for mask in subsets:
-        taken = {k for b, k in enumerate(kinds) if mask >> b & 1}
-        # atoms: runs of tokens between taken separators
-        atoms, start = [], 0
-        for i in range(n):
-            if i == n - 1 or delims[i] in taken:
-                atoms.append((start, i))
-                start = i + 1
-        # states: number of values -> (cost, pieces)
-        states: list[dict[int, tuple[tuple, list]]] = [{} for _ in range(len(atoms) + 1)]
-        states[0][0] = ((0, 0, 0), [])
-        for a in range(len(atoms)):
-            for count, (cost, pieces) in states[a].items():
-                for b in range(a, min(len(atoms), a + MOST_JOINED)):
-                    i, j = atoms[a][0], atoms[b][1]
-                    is_known = (i, j) in known
-                    if b > a and not is_known:
+    filled = list(accumulate((not x for x in blank), initial=0))
+
+    def best_for(mask: int, wanted: int | None) -> tuple[tuple, list[tuple[int, int]]] | None:
+        """(cost, pieces) of the best reading with these kinds of separator, of wanted values if that is given."""
+        ends = [i for i in range(n) if i == n - 1 or mask >> place[delims[i]] & 1]
+        atom = {j: a for a, j in enumerate(ends)}
+        steps: list[list[tuple]] = []
+        for a in range(len(ends)):
+            i, end = (ends[a - 1] + 1 if a else 0), ends[a]
+            is_known = (i, end) in known
+            if filled[end + 1] == filled[i]:
+                to_next = [(a + 1, 0, 0, 0, 0, None)]
+            else:
+                to_next = [(a + 1, int(not is_known and end > i), int(not is_known), 0, 1, (i, end))]
+            for j in longer.get(i, ()):
+                if j > end and j in atom and atom[j] - a < MOST_JOINED:
+                    to_next.append((atom[j] + 1, 0, 0, atom[j] - a, 1, (i, j)))
+            steps.append(to_next)
+        left = [0] * (len(ends) + 1)  # values at most from an atom on
+        for a in range(len(ends) - 1, -1, -1):
+            left[a] = max(x[4] + left[x[0]] for x in steps[a])
+        # states: number of values, or 0 if none is wanted -> (cost, atom before, state before, piece)
+        states: list[dict[int, tuple]] = [{} for _ in range(len(ends) + 1)]
+        states[0][0] = ((0, 0, 0, 0), None, None, None)
+        for a in range(len(ends)):
+            for state, (cost, *_) in states[a].items():
+                for to, marked, unknown, joined, more, piece in steps[a]:
+                    new = (cost[0] + marked, cost[1] + unknown, cost[2] + joined, cost[3] - more)
+                    key = 0 if wanted is None else state + more
+                    if wanted is not None and not key <= wanted <= key + left[to]:
                         continue
-                    if b == a and all(blank[i : j + 1]):
-                        step, more, piece = (0, 0, 0), 0, []
-                    else:
-                        step, more, piece = (int(not is_known and j > i), int(not is_known), b - a), 1, [(i, j)]
-                    new = tuple(x + y for x, y in zip(cost, step, strict=True))
-                    old = states[b + 1].get(count + more)
+                    old = states[to].get(key)
                     if old is None or new < old[0]:
-                        states[b + 1][count + more] = (new, pieces + piece)
-        for count, (cost, pieces) in states[-1].items():
-            rank = (expected is not None and count != expected, cost[0], cost[1], max(0, len(taken) - 1), cost[2], -count)
-            if best is None or rank < best[0]:
-                best = (rank, pieces)
+                        states[to][key] = (new, a, state, piece)
+        if not states[-1]:
+            return None
+        at, key = len(ends), wanted or 0
+        cost, pieces = states[at][key][0], []
+        while at:
+            _, at, key, piece = states[at][key]
+            if piece:
+                pieces.append(piece)
+        return cost, pieces[::-1]
+
+    place = {k: b for b, k in enumerate(kinds)}
+    for wanted in [None] if expected is None else [expected, None]:
+        best = None
+        for mask in range(1 << len(kinds)):
+            got = best_for(mask, wanted)
+            if got:
+                cost = got[0]
+                rank = (cost[0], cost[1], max(0, mask.bit_count() - 1), cost[2], cost[3])
+                if best is None or rank < best[0]:
+                    best = (rank, got[1])
+        if best:
+            break
     return best[1]
 
 

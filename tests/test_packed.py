@@ -45,3 +45,14 @@ def test_choice_prefers_the_expected_number():
 def test_long_cells(spark):
     got = run(spark, [(1, None, "C|" * 5000 + "A,B", "；".join(["R", "P/Q"] * 300), "x", 1)])
     assert got[1, "topic_names"] == ["C"] * 5000 + ["A,B"] and got[1, "subs"] == ["R", "P/Q"] * 300
+
+
+def test_long_cells_are_read_as_short_ones():
+    for n in (3, 150):  # values with a sign in them that no catalogue knows
+        tokens, delims = ["x", "y"] * n, (["/", ";"] * n)[:-1]
+        assert readings(tokens, delims, set(), n) == [(2 * i, 2 * i + 1) for i in range(n)]
+
+
+def test_all_choices_among_many_kinds_of_separator():
+    tokens, delims = list("abcdefgh"), [",", ";", "/", "|", "、", "；", "，"]
+    assert readings(tokens, delims, set(), 3) == [(0, 0), (1, 1), (2, 7)]
