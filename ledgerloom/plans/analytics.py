@@ -72,7 +72,7 @@ def _(spark, d):
     return graphs.compatible(T(spark, d, "embeddings").select("label", F.col("vec_id").alias("id"), F.col("embedding").alias("vec")), "label", 0.3)
 
 
-@Q("g03_semantic_groups", "G3 G4 G5")
+@Q("g03_semantic_groups", "G3")
 def _(spark, d):
     rows = T(spark, d, "embeddings").select("label", F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), F.lit(500).alias("size"))
     return graphs.semantic_groups(rows, "label", 12, 30_000)
@@ -90,7 +90,7 @@ def _(spark, d):
     return T(spark, d, "topic").groupBy(key.alias("name_key"), F.coalesce("definition", F.lit("")).alias("definition")).agg(F.count("*").alias("topics"))
 
 
-@Q("g10_market_merge", "G10 G11 G12 U3", """WITH RECURSIVE m AS (SELECT track_id, unnest(topic_ids) AS t FROM track), s AS (SELECT DISTINCT a.track_id AS x, b.track_id AS y FROM m a JOIN m b ON a.t = b.t JOIN track p ON p.track_id = a.track_id JOIN track q ON q.track_id = b.track_id WHERE p.supplier_role = q.supplier_role AND p.offering_family = q.offering_family AND a.track_id <> b.track_id),
+@Q("g10_market_merge", "G12 U3", """WITH RECURSIVE m AS (SELECT track_id, unnest(topic_ids) AS t FROM track), s AS (SELECT DISTINCT a.track_id AS x, b.track_id AS y FROM m a JOIN m b ON a.t = b.t JOIN track p ON p.track_id = a.track_id JOIN track q ON q.track_id = b.track_id WHERE p.supplier_role = q.supplier_role AND p.offering_family = q.offering_family AND a.track_id <> b.track_id),
 r AS (SELECT x AS node, x AS reach FROM s UNION SELECT r.node, s.y FROM r JOIN s ON s.x = r.reach), c AS (SELECT node, least(min(reach), node) AS market FROM r GROUP BY node) SELECT coalesce(c.market, t.track_id) AS market, count(*) AS members, min(t.confidence) AS confidence, CASE WHEN bool_or(status = 'watchlist') THEN 'watchlist' ELSE 'candidate' END AS status FROM track t LEFT JOIN c ON c.node = t.track_id GROUP BY 1""")
 def _(spark, d):
     t = T(spark, d, "track")
@@ -113,12 +113,12 @@ def _bm25(spark, d) -> DataFrame:
     return retrieval.bm25(docs, asked)
 
 
-@Q("g15_bm25_pairs", "G15 F20 J10", BM25 + " SELECT query_id, doc_id, round(score, 4) AS score, round(coverage, 4) AS coverage FROM s")
+@Q("g15_bm25_pairs", "F20", BM25 + " SELECT query_id, doc_id, round(score, 4) AS score, round(coverage, 4) AS coverage FROM s")
 def _(spark, d):
     return _bm25(spark, d).select("query_id", "doc_id", F.round("score", 4).alias("score"), F.round("coverage", 4).alias("coverage"))
 
 
-@Q("g16_hybrid_topk", "G16 F25 F26 L4", BM25 + """, k AS (SELECT quantile_cont(score, 0.25) l25, quantile_cont(score, 0.5) l50, quantile_cont(score, 0.75) l75, quantile_cont(coverage, 0.25) s25, quantile_cont(coverage, 0.5) s50, quantile_cont(coverage, 0.75) s75 FROM s),
+@Q("g16_hybrid_topk", "F25 F26 L4", BM25 + """, k AS (SELECT quantile_cont(score, 0.25) l25, quantile_cont(score, 0.5) l50, quantile_cont(score, 0.75) l75, quantile_cont(coverage, 0.25) s25, quantile_cont(coverage, 0.5) s50, quantile_cont(coverage, 0.75) s75 FROM s),
 f AS (SELECT query_id, doc_id, round(0.6 / (1 + exp(-greatest(-12, least(12, (coverage - s50) / greatest((s75 - s25) / 1.349, 1e-8))))) + 0.4 / (1 + exp(-greatest(-12, least(12, (score - l50) / greatest((l75 - l25) / 1.349, 1e-8))))), 3) AS hybrid FROM s, k) SELECT query_id, count(*) AS pairs, max(hybrid) AS best FROM f GROUP BY query_id""")
 def _(spark, d):
     f = retrieval.fused(_bm25(spark, d), "score", "coverage", 0.6)

@@ -106,3 +106,9 @@ def test_anchor_and_link(spark):
     assert [r[0] for r in df.select(X.anchor(F.col("p"), F.col("n"), ["系统"])).collect()] == ["逆变器系统", None, None, None]
     df = spark.createDataFrame([("采购了一批机器人",), ("采购。机器人",), (None,)], "t string")
     assert [r[0] for r in df.select(X.linked(F.col("t"), "机器人", ["采购"])).collect()] == [True, False, None]
+
+
+def test_no_query_claims_what_is_not_built():
+    from ledgerloom.plans.catalogue import CORE
+
+    assert not {"G4", "G5", "G10", "G11", "G15", "G16", "J10"} & {i for ids in CORE.operators.values() for i in ids}
