@@ -1,8 +1,9 @@
 """Repair of text from scanned pages: running heads, page numbers, broken words and misread characters.
 
-The channel model is a table of confusions with their probabilities; the source model counts words and character
-trigrams of the corpus in tables of fixed size, trained on all texts that are no scans. Each line is decoded by Viterbi
-over the readings of its words (or characters, for Chinese). Running heads are told from headings by a corpus-wide
+The channel model is a table of confusions, with one probability for all Chinese ones and none for Latin ones; the source model counts words and character
+trigrams of the corpus in tables of fixed size, trained on all texts that are no scans. Viterbi decoding is not built: a Latin
+word the corpus doesn't hold takes the commonest of its readings, a Chinese character is judged alone against its raw
+neighbours. Running heads are told from headings by a corpus-wide
 statistic: heads stand inside sentences, headings don't.
 """
 
@@ -165,7 +166,7 @@ def readings(word: str, source: Source) -> tuple[str, int] | None:
 
 
 def decode_han(chars: str, source: Source) -> dict[int, str]:
-    """Changed places and intended characters of a run of text, by Viterbi over the readings of each character."""
+    """Changed places and intended characters of a run of text, each character decided alone against its raw neighbours."""
     counts: dict[str, int] = {}
 
     def g(s: str) -> int:
