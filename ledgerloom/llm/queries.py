@@ -91,22 +91,24 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared_parts(docs, *shared_spans(docs)).withColumnRenamed("doc", "doc_id")
 
 
-def _residue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = table(spark, sf_dir, "search_result").select("result_id", "title", "url", "snippet")
-    host = F.regexp_extract("url", r"^[a-z]+://([^/]+)", 1)
-    snippets = results.select(F.lit("search_result").alias("src"), F.col("result_id").alias("row_key"), F.col("snippet").alias("text"), host.alias("host"), "title", "url")
-    titles = results.groupBy("result_id").agg(F.max("title").alias("title"))
-    pages = table(spark, sf_dir, "remote_page_result").select("page_id", "result_id", "url", "site", "extracted_text")
-    # texts stay where they are: the titles are matched to page ids first
-    pages = pages.join(titles, "result_id", "left")
-    pages = pages.select(F.lit("remote_page_result").alias("src"), F.col("page_id").alias("row_key"), F.col("extracted_text").alias("text"), F.col("site").alias("host"), "title", "url")
-    return snippets.unionByName(pages)
+def _residue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, row_key) of the pages and snippets that carry residue."""
+    results = table(spark, sf_dir, "search_result").select("result_id", "title", "url", "snippet").where("result_id is not null")
+    pages = table(spark, sf_dir, "remote_page_result").select("page_id", "result_id", "url", "site", "extracted_text").where("page_id is not null")
+    src = lambda name: F.lit(name).alias("src")
+    snippets = results.select(src("search_result"), F.col("result_id").alias("row_key"), F.col("snippet").alias("text"), F.regexp_extract("url", r"^[a-z]+://([^/]+)", 1).alias("host"))
+    texts = snippets.unionByName(pages.select(src("remote_page_result"), F.col("page_id").alias("row_key"), F.col("extracted_text").alias("text"), F.col("site").alias("host")))
+    own = results.groupBy("result_id").agg(F.max("title").alias("title"), F.max("url").alias("url"))
+    of_pages = pages.groupBy("page_id").agg(F.max("result_id").alias("result_id"), F.max("url").alias("url")).join(own.select("result_id", "title"), "result_id", "left")
+    heads = own.select(src("search_result"), F.col("result_id").alias("row_key"), "title", "url")
+    heads = heads.unionByName(of_pages.select(src("remote_page_result"), F.col("page_id").alias("row_key"), "title", "url"))
+    return residue(texts, heads, ["src", "row_key"], "text", "host", "title", "url")
 
 
 @LLM.add("p6_found")
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and snippets that carry placeholders, filler, error messages or script notices instead of content."""
-    return residue(_residue_rows(spark, sf_dir), ["src", "row_key"], "text", "host", "title", "url").where("row_key is not null")
+    return _residue(spark, sf_dir)
 
 
 def _repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,8 +133,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, host, text) of the pages that carry content."""
     pages = table(spark, sf_dir, "remote_page_result").where("page_id is not null")
     # the rows of p6_found, since hosts and titles of all records are evidence
-    found = residue(_residue_rows(spark, sf_dir), ["src", "row_key"], "text", "host", "title", "url")
-    bad = materialise(found.where("src = 'remote_page_result'").select(F.col("row_key").alias("page_id")), "residue-pages")
+    bad = materialise(_residue(spark, sf_dir).where("src = 'remote_page_result'").select(F.col("row_key").alias("page_id")), "residue-pages")
     return pages.join(bad, "page_id", "left_anti").select(F.col("page_id").alias("id"), F.col("site").alias("host"), F.col("extracted_text").alias("text"))
 
 

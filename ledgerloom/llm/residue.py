@@ -1,8 +1,9 @@
 """Template residue, filler, error messages and script notices in place of content.
 
-Placeholder detectors read whole texts. Error and filler evidence is taken per line: a text is a case if it has such
-a line and no line of content. A message that no detector knows is found by its hosts: the same low-information text
-under several hosts and titles, of which neither title nor address share a term with it.
+No list of messages decides. Responses are told by what they do in the collection: the same low-information line comes
+under several hosts and titles, shares no term with the titles and address slugs of its records, and hardly any with
+the titles and slugs of the whole collection. A record is a case if every line of it is such a response, filler or
+navigation; placeholder detectors read whole texts, since one unfilled placeholder is enough.
 """
 
 from __future__ import annotations
@@ -19,26 +20,18 @@ PLACEHOLDERS = [
     r"\[(?:INSERT|ENTER|ADD|YOUR|TODO|TBC|TBD|DATE|NAME|TITLE|PLACEHOLDER)(?: [A-Z]+)*\]", r"<(?:Your|Insert|Enter|Add)\b[^<>\n]{0,60}>",
     r"[\[【（(<](?:请|此处|在此|这里|待)[^\[\]【】（）()<>\n]{0,20}(?:输入|填写|补充|填入|填|上传|确认|插入|替换)[^\[\]【】（）()<>\n]{0,20}[\]】）)>]", r"(?:X{2,}|×{2,}|〇{2,})年(?:(?:X|×|〇)+月)",
 ]
-# Words of messages that stand where content should.
-MESSAGES = [
-    "页面不存在", "页面未找到", "已被删除", "您访问的页面", "链接已过期", "链接已失效", "没有找到该内容", "返回首页", "无法查看", "已被发布者撤下", "没有权限", "权限不足", "请先登录",
-    "访问过于频繁", "滑块验证", "请完成验证", "系统繁忙", "稍后再试", "服务器内部错误", "服务器错误", "网关错误", "请求编号", "追踪号", "错误码", "数据库连接失败", "无法打开会话",
-    r"启用\s*(?:JavaScript|脚本)", "刷新本页", "需要脚本支持", "脚本无法运行", "打开Cookie与脚本", "内容加载中", "浏览器版本过低", "请更换浏览器", "系统维护中", "正在维护", "会话已(?:过期|结束)", "拒绝访问", "禁止访问",
-    r"(?:could )?not be found", "not found", "page you (?:asked|are looking) for", r"(?:was|were|been) moved or deleted", "requested resource", "nothing lives at this address", "no longer (?:available|exists)",
-    "access denied", r"incident [0-9a-f]+", "too many requests", "slow down", r"(?:are not|not) a robot", "sign in again", r"session has (?:ended|expired)", "enable cookies and scripts", r"(?:enable|turn on) javascript", r"javascript is (?:switched off|disabled|required|off)",
-    "needs scripts", "cannot show this app", "upstream", "did not answer", "bad gateway", "internal server (?:failure|error)", r"trace [0-9a-f]+", "connection to database lost", "TypeError", r"cannot read propert(?:y|ies)", r"(?:service|temporarily) unavailable",
-    "under maintenance", "try again later", r"error \d{3}\b", "browser is (?:too old|not supported|outdated)",
-]
-# Phrases and words of filler text.
-FILLER = ["示例文字", "占位文本", "占位文字", "测试数据请忽略", "这里是正文内容", "此处为正文", "测试测试", "sample text goes here", "dummy copy for layout", "your text here", "test test", "asdf", "qwer"]
+# The words of the filler text that layouts come with.
 LOREM = (
     "lorem ipsum dolor sit amet consectetur adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo "
     "consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum"
 )
-COOKIE = r"(?i)使用cookie|cookies? (?:and similar tools|help us)|identifiers in your browser|隐私条款|保存浏览记录"
 QUOTES_BEFORE, QUOTES_AFTER = "“‘「『\"'`", "”’」』\"'`"
-#: Longest message line, share of it that message words cover at least, hosts that make a text a repeated response.
-LONGEST, COVER, HOSTS = 110, 0.25, 3
+#: Hosts under which a line comes at least to be a repeated response, and the most it may share: of its terms with the titles and
+#: slugs of its records, and with those of the collection, and of the titles of its records with each other.
+HOSTS, MATCHED, FAMILIAR, ALIKE = 3, 0.05, 0.45, 0.6
+#: Share of all records whose titles or slugs hold a term at least for it to be familiar.
+TERM_SHARE = 5e-5
+SLUG = r"^[a-z]+://[^/?#]+(/[^?#]*)"
 
 
 def placeholder() -> str:
@@ -46,53 +39,86 @@ def placeholder() -> str:
     return rf"(?=[{{$#@<\[%_【（(X×〇])(?<![{QUOTES_BEFORE}])(?:" + "|".join(PLACEHOLDERS) + rf")(?![{QUOTES_AFTER}])"
 
 
-def _lines(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x.rlike(r"\S"))
+def terms(text: Column) -> Column:
+    """The distinct Latin words of four letters or more and the pairs of adjacent Chinese characters."""
+    han = F.regexp_extract_all(text, F.lit(r"[\p{IsHan}]{2,}"), F.lit(0))
+    pairs = F.flatten(F.transform(han, lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substr(r, i, F.lit(2)))))
+    return F.array_distinct(F.concat(F.regexp_extract_all(F.lower(text), F.lit(r"[a-z]{4,}"), F.lit(0)), pairs))
+
 
+def _masked(line: Column) -> Column:
+    """A line without case, numbers and hexadecimal ids."""
+    return F.regexp_replace(F.lower(line), r"[a-f]*+\d[0-9a-f]*", "#")
 
-def _message(line: Column) -> Column:
-    rest = F.regexp_replace(line, "(?i)" + "|".join(MESSAGES), "")
-    return (F.length(line) <= LONGEST) & (F.length(line) - F.length(rest) >= COVER * F.length(line))
 
+def _is_nav(line: Column) -> Column:
+    """Short items between separator signs."""
+    return line.rlike(r"^[^。，；\d|/·»>＞]{1,24}(?:\s*[|/·»>＞]\s*[^。，；\d|/·»>＞]{1,24})+$")
 
-def _filler(line: Column) -> Column:
+
+def _is_filler(line: Column) -> Column:
+    """One unit again and again, or words of filler text only."""
     words = LOREM.replace(" ", "|")
     latin = line.rlike(rf"(?i)^(?:(?:{words})\b[\s,.;]*){{3,}}$")
-    named = line.rlike("(?i)^(?:" + "|".join(FILLER) + ")") & (F.length(F.regexp_replace(F.lower(line), "|".join(FILLER) + r"|[\s.。,，!！]", "")) == 0)
-    again = line.rlike(r"^([^\s\d|/·_=*-]{4,24}[\s.。]*)\1{2,}$")
-    return latin | named | again
+    # cheap test first: the start of a repeated unit comes again; the last unit may be cut
+    unit = r"^([^\d|/·_=*-]{4,40}?)[\s.。,，!！]*(?:\1[\s.。,，!！]*)+(.*)$"
+    again = F.contains(F.substr(line, F.lit(5)), F.substr(line, F.lit(1), F.lit(4))) & line.rlike(unit) & F.startswith(F.regexp_extract(line, unit, 1), F.regexp_extract(line, unit, 2))
+    return latin | again
 
 
-def _content(line: Column) -> Column:
-    """A sentence that is no message, filler or cookie notice."""
-    sentence = line.rlike(r"[。；]|[a-z)%]\.(?:\s|$)") | (F.length(line) > 160)
-    return sentence & ~_filler(line) & ~line.rlike(COOKIE) & ~_message(line)
+def _is_sentence(line: Column) -> Column:
+    return line.rlike(r"[。；]|[a-z)%]\.(?:\s|$)") | (F.length(line) > 160)
 
 
-def residue(df: DataFrame, key: list[str], text: str, host: str, title: str, address: str) -> DataFrame:
-    """Rows of key whose text carries residue, each once.
+def _lines(text: Column) -> Column:
+    """The lines of a text that are neither blank nor navigation."""
+    return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x.rlike(r"\S") & ~_is_nav(x))
+
+
+def _responses(texts: DataFrame, heads: DataFrame, lines: DataFrame, key: list[str], records: int) -> DataFrame:
+    """(form): the masked lines that are responses of servers or templates, not content."""
+    by_host = lines.groupBy("form", "host").agg(F.min(F.struct(*key)).alias("at"))
+    spread = by_host.groupBy("form").agg(F.count("host").alias("hosts"), F.min("at").alias("at"))
+    spread = materialise(spread.where(F.col("hosts") >= HOSTS).select("form", "at"), "spread")
+    # one record of each form gives its text; titles and slugs of all its records tell whether it has to do with them
+    sample = texts.join(spread.select(*[F.col(f"at.{k}").alias(k) for k in key], "form"), key).select("form", F.explode(_lines(F.col("_text"))).alias("line"))
+    sample = sample.where(F.col("form") == F.xxhash64(_masked(F.col("line")))).groupBy("form").agg(F.min("line").alias("line"))
+    sample = materialise(sample.select("form", terms(F.col("line")).alias("terms")), "forms")
+    known = terms(F.concat_ws("\n", "_title", F.regexp_extract("_address", SLUG, 1))).alias("known")
+    familiar = heads.select(F.explode(known).alias("term")).groupBy("term").agg(F.count("*").alias("rows")).where(F.col("rows") >= TERM_SHARE * records)
+    asked = sample.select("form", F.explode("terms").alias("term"))
+    share = asked.join(familiar, "term", "left").groupBy("form").agg(F.avg(F.col("rows").isNotNull().cast("int")).alias("familiar"))
+    # records without a title or slug tell nothing
+    held = lines.join(sample, "form").select(*key, "form", "terms").distinct().join(heads, key).select("form", "terms", known).where("size(known) > 0")
+    own = held.groupBy("form").agg(F.count("*").alias("n"), F.avg(F.size(F.array_intersect("known", "terms")) / F.greatest(F.size("terms"), F.lit(1))).alias("matched"))
+    # reprints have titles alike
+    of_titles = held.select("form", F.explode("known").alias("term")).groupBy("form", "term").agg(F.count("*").alias("n"))
+    alike = of_titles.groupBy("form").agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("per_term"))
+    told = sample.join(share, "form", "left").join(own, "form", "left").join(alike, "form", "left")
+    told = told.withColumn("alike", F.coalesce(F.col("per_term") / F.col("n"), F.lit(0.0)))
+    return told.where((F.coalesce("familiar", F.lit(0.0)) <= FAMILIAR) & (F.coalesce("matched", F.lit(0.0)) <= MATCHED) & (F.col("alike") <= ALIKE)).select("form")
+
+
+def residue(df: DataFrame, heads: DataFrame, key: list[str], text: str, host: str, title: str, address: str) -> DataFrame:
+    """Rows of key whose text carries residue, each once; heads gives titles and addresses by key, so that texts are not shuffled.
 
     Null, empty and blank texts are no cases; rows that come several times count once; a null host, title or
-    address only weakens the host evidence. Texts of any length are read whole.
+    address, or a key without a head, only weakens the host evidence. Texts and lines of any length are read whole. A message that
+    comes under fewer than HOSTS hosts, or only with titles alike, is not told from content.
     """
-    rows = df.where(F.col(text).rlike(r"\S")).select(*key, F.col(text).alias("_text"), F.col(host).alias("_host"), F.col(title).alias("_title"), F.col(address).alias("_address"))
-    # one pass over the texts; what remains is few: texts with a placeholder, and texts without a line of content
-    flagged = rows.withColumns({"_unfilled": F.col("_text").rlike(placeholder()), "_low": ~F.exists(F.split("_text", "\n"), _content)})
-    kept = materialise(flagged.where("_unfilled or _low"), "residue")
-    unfilled = kept.where("_unfilled").select(*key)
-    lines = _lines(F.col("_text"))
-    judged = kept.where("_low").withColumn("_bad", F.exists(lines, lambda x: _message(x) | _filler(x)))
-    told = judged.where("_bad").select(*key)
-    # unknown messages: the same text, numbers aside, under several hosts and titles that share no term with it
-    masked = F.regexp_replace(F.lower(F.array_join(F.filter(lines, lambda x: ~x.rlike(r"[|/·»>]")), "\n")), r"[0-9a-f]*\d[0-9a-f]*", "#")
-    open_rows = judged.where("not _bad").withColumn("_masked", masked).where("length(_masked) between 4 and 160")
-    seen = open_rows.groupBy(F.xxhash64("_masked").alias("_m")).agg(F.approx_count_distinct("_host").alias("hosts"), F.approx_count_distinct("_title").alias("titles"))
-    seen = seen.where((F.col("hosts") >= HOSTS) & (F.col("titles") >= HOSTS))
-    terms = lambda c: F.array_union(
-        F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"[a-z]{4,}"), F.lit(0)),
-        F.flatten(F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"[\p{IsHan}]{2,}"), F.lit(0)), lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substr(r, i, F.lit(2))))),
-    )
-    known = F.array_union(terms(F.col("_title")), terms(F.regexp_extract("_address", r"^[a-z]+://[^/]+(/.*)$", 1)))
-    apart = F.col("_title").isNotNull() & ~F.arrays_overlap(known, terms(F.col("_text")))
-    repeated = open_rows.withColumn("_m", F.xxhash64("_masked")).join(seen, "_m", "left_semi").where(apart).select(*key)
-    return unfilled.unionByName(told).unionByName(repeated).distinct()
+    texts = df.where(F.col(text).rlike(r"\S")).select(*key, F.col(text).alias("_text"), F.col(host).alias("_host"))
+    heads = heads.select(*key, F.col(title).alias("_title"), F.col(address).alias("_address"))
+    # one pass over the texts leaves hashes and flags of lines only
+    line = lambda x: F.struct(F.xxhash64(_masked(x)).alias("form"), _is_filler(x).alias("filler"), _is_sentence(x).alias("sentence"))
+    flagged = texts.select(*key, F.xxhash64("_host").alias("host"), F.col("_text").rlike(placeholder()).alias("unfilled"), F.transform(_lines(F.col("_text")), line).alias("lines"))
+    flagged = materialise(flagged, "residue")
+    lines = flagged.select(*key, "host", F.explode("lines").alias("l")).select(*key, "host", "l.*")
+    responses = _responses(texts, heads, lines, key, flagged.count()).withColumn("response", F.lit(True))
+    judged = lines.join(responses, "form", "left").withColumn("response", F.coalesce("response", F.lit(False)))
+    # content: a sentence that is neither; without filler any other line is content as well
+    per_row = judged.groupBy(*key).agg(
+        F.bool_or("filler").alias("filler"), F.bool_or(F.col("sentence") & ~F.col("filler") & ~F.col("response")).alias("told"),
+        F.bool_and(F.col("filler") | F.col("response")).alias("only"),
+    )
+    empty = per_row.where("only or filler and not told").select(*key)
+    return flagged.where("unfilled").select(*key).unionByName(empty).distinct()

@@ -157,14 +157,38 @@ def test_mixture(spark):
     assert sorted(out.collect()) == sorted(mixture.mix(df, plan, len(docs)).collect())
 
 
-def test_residue(spark):
-    bad = ["Published {{ title }} by X", "__TITLE__", "发布时间：XX年XX月XX日", "404 很遗憾，没有找到该内容，7秒后返回首页", "首页 | 视频\n请在浏览器中启用JavaScript后刷新本页", "占位文本占位文本占位文本", "Lorem ipsum sed irure sit amet.", "TypeError: cannot read property 'body' of undefined"]
-    good = ["平台采用“{{ name }}”这类模板语法，在区部署38套。", "政务网站改版后，404错误率下降59.8%，称页面不存在的提示已统一。", "The firm dropped the lorem ipsum from its manuals.", None, "", " \n"]
-    rows = [(i, t, f"h{i}", None, None) for i, t in enumerate(bad + good)] + [(0, bad[0], "h", None, None)]
-    rows += [(100 + i, "Nothing lives here today", f"h{i}", f"pumps for plant {c}", f"http://h{i}/news/x") for i, c in enumerate("abcdef")]
-    df = spark.createDataFrame(rows, "k bigint, text string, host string, title string, url string")
-    got = [r.k for r in residue.residue(df, ["k"], "text", "host", "title", "url").collect()]
-    assert sorted(got) == [*range(len(bad)), *range(100, 106)]
+def heads_of(spark, rows):
+    return spark.createDataFrame(rows, "k bigint, title string, url string")
+
+
+def found_residue(spark, rows, heads):
+    df = spark.createDataFrame(rows, "k bigint, text string, host string, title string")
+    return sorted(r.k for r in residue.residue(df, heads_of(spark, heads), ["k"], "text", "host", "title", "url").collect())
+
+
+def test_residue_placeholders_and_filler(spark):
+    bad = ["Published {{ title }} by X", "__TITLE__", "发布时间：XX年XX月XX日", "占位文本占位文本占位文本", "这里是正文内容这里是正文内容", "Lorem ipsum sed irure sit amet.", "首页 | 视频\nasdf qwer asdf qwer ", "Sample text goes here. Sample text goes here. Sample text"[:50]]
+    good = ["平台采用“{{ name }}”这类模板语法，在区部署38套。", "政务网站改版后，404错误率下降59.8%，称页面不存在的提示已统一。", "The firm dropped the lorem ipsum from its manuals.", None, "", " \n", "首页 | 视频"]
+    rows = [(i, t, f"h{i}", None) for i, t in enumerate(bad + good)] + [(0, bad[0], "h", None)]
+    assert found_residue(spark, rows, []) == list(range(len(bad)))
+
+
+def test_residue_of_nothing(spark):
+    assert found_residue(spark, [], []) == [] and found_residue(spark, [(1, None, None, "clash")], [(1, None, None)]) == []
+
+
+def test_responses_are_told_by_hosts_and_titles(spark):
+    titles = ["pumps for plant", "looms in Velska", "Notice on ceramic kilns", "浦县安排资金", "检漏仪通过验收", "copper bids"]
+    texts = {0: "Nothing lives here today, code 9{0}", 100: "News | Jobs\n该文章已被撤下。\nNothing lives here today, code 9{0}", 200: "The {1} were opened by the mayor.", 300: "The same report of one event.", 400: "A line of one host."}
+    rows, heads = [], []
+    for start, text in texts.items():
+        for i, title in enumerate(titles):
+            host = "h" if start == 400 else f"h{i}"
+            rows.append((start + i, text.format(i, title), host, "clash"))
+            heads.append((start + i, "One event and its report" + "!" * i if start == 300 else title, f"http://{host}/news/x{i}"))
+    # one more text that is a response with a sentence of content below it
+    rows.append((900, "Nothing lives here today, code 91\nThe kilns were sold to a buyer.", "h1", None))
+    assert found_residue(spark, rows + rows[:3], heads) == [*range(6), *range(100, 106)]
 
 
 SCAN = """Survey Results | 12
@@ -225,7 +249,8 @@ def test_counts_go_on_beyond_16_bits(spark):
 
 
 def test_wrapper_leaves_out_the_pages_of_residue(spark, tmp_path):
-    rows = [(i, i, f"http://h{i}/news/x", f"h{i}", "Nothing lives here today", f"pumps for plant {c}") for i, c in enumerate("abcdef")] + [(9, 9, "http://h9/x", "h9", "The plant opened.", "Plant")]
+    titles = ["pumps for plant", "looms in Velska", "Notice on ceramic kilns", "浦县安排资金", "检漏仪通过验收", "copper bids"]
+    rows = [(i, i, f"http://h{i}/news/x", f"h{i}", "Nothing lives here today", t) for i, t in enumerate(titles)] + [(9, 9, "http://h9/x", "h9", "The plant opened.", "Plant")]
     df = spark.createDataFrame(rows, "page_id bigint, result_id bigint, url string, site string, extracted_text string, title string")
     df.drop("title").write.parquet(f"{tmp_path}/remote_page_result.parquet")
     df.select("result_id", "title", "url", F.lit(None).cast("string").alias("snippet")).write.parquet(f"{tmp_path}/search_result.parquet")
