@@ -2,9 +2,12 @@
 
 A page is a tree of blocks and lines. Pages of one host are aligned by simple tree matching; lines that match are
 constant nodes of the host's template. Lines vary inside a template too (counters, addresses, lists of other
-articles), so every line has several keys from exact to general, and tables of fixed size count for each key how often it
-occurs, at the edge of a page in a matched run, and in pages without a frame. Keys that never occur in frameless pages
-belong to the site; sub-heads, which recur as well, do occur there.
+articles), so every line has several keys from exact to general; the exact key names a node of its host's template. A table
+of nodes holds for each key in how many pages it occurs, at the edge of how many in a matched run, and in how many pages
+without a frame. Keys that never occur in frameless pages belong to the site; sub-heads, which recur as well, do occur there.
+
+All counts are exact. Pages stay in units of about GROUP pages of a host; a unit sends each of its keys once, and the nodes
+that recur come back to the units that hold them, so neither a key nor a host is ever one task's or the driver's.
 """
 
 from __future__ import annotations
@@ -15,19 +18,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialise
 from .scans import is_scan, is_wrapped
 
-#: Counters of a table for each page, as a power of two, and the most counters of a table, which bound what is sent to the workers.
-PER_PAGE, FEWEST, MOST = 64, 1 << 20, 1 << 25
-BLOCKS = 64
 #: Keys of a line: exact within the host, exact, label before a colon, names masked, first and last signs.
 KEYS = 6
 #: Pages of a host that are aligned in one group, and partners of a page in it.
 GROUP, PARTNERS = 100, 4
+#: Pages a key is in at least to be a node of a template.
+RECURS = 3
 #: Chance that an article's key is missing from all frameless pages although it may stand there.
 CHANCE = 1e-4
 SENTENCE = re.compile(r"。|；|[a-z0-9)%]\.(?:\s|$)|[a-z]; ")
@@ -101,8 +103,10 @@ def matching(a: list[list[int]], b: list[list[int]]) -> set[tuple[int, int]]:
     return {(i, k) for i, _, inside in best(len(a), len(b), lambda i, j: lines(a[i], b[j])) for k in inside}
 
 
-def _aligned(table: pa.Table) -> pa.Table:
-    """Pages of one group of a host with the keys, flags and alignment of their lines."""
+def _aligned(key: tuple, table: pa.Table) -> pa.Table:
+    """The unit of pages of one group of a host, as one row, with the keys, flags and alignment of their lines."""
+    import xxhash
+
     table = table.sort_by("id")
     ids, texts, host = table["id"].to_pylist(), table["text"].to_pylist(), table["host"][0].as_py() or ""
     pages = []
@@ -142,62 +146,56 @@ def _aligned(table: pa.Table) -> pa.Table:
         flags = matched * 1 + edge * 2 + sentence * 4 + blank * 8 + nav * 16 + (len(partners) > 0) * 32 + broken * 64
         out_keys.append(np.array(keys, dtype=np.int64).ravel())
         out_flags.append(flags.astype(np.int8))
-    return pa.table({"id": table["id"], "keys": pa.array(out_keys, pa.list_(pa.int64())), "flags": pa.array([f.tobytes() for f in out_flags], pa.binary())})
-
-
-class Counts:
-    """How often keys occur, in a table of fixed size: two counters for each key, of which the smaller one holds."""
-
-    def __init__(self, slots: int, table: np.ndarray | None = None) -> None:
-        self.slots = slots
-        self.table = np.zeros(slots, dtype=np.uint32) if table is None else table
-
-    def _at(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return keys & (self.slots - 1), (keys >> 31) & (self.slots - 1)
-
-    def add(self, keys: np.ndarray) -> None:
-        """One for each of the keys, which must be distinct."""
-        for at in self._at(keys):
-            self.table[at] += 1
-
-    def of(self, keys: np.ndarray) -> np.ndarray:
-        a, b = self._at(keys)
-        return np.minimum(self.table[a], self.table[b]).astype(np.int64)
-
-
-def _sum(df: DataFrame, slots: int, columns: list[str], totals: list[str]) -> tuple[dict[str, Counts], dict[str, int]]:
-    """Sums of tables of counters that come in blocks, and of plain totals."""
-
-    def add(t: pa.Table) -> pa.Table:
-        out = {"block": t["block"].slice(0, 1)}
-        for c in columns:
-            total = np.zeros(slots // BLOCKS, dtype=np.uint32)
-            for x in t[c]:
-                total += np.frombuffer(x.as_buffer(), dtype=np.uint32)
-            out[c] = pa.array([total.tobytes()], pa.binary())
-        return pa.table(out | {c: pa.array([sum(t[c].to_pylist())], pa.int64()) for c in totals})
-
-    schema = "block int, " + ", ".join([f"{c} binary" for c in columns] + [f"{c} bigint" for c in totals])
-    rows = df.groupBy("block").applyInArrow(add, schema).toArrow().sort_by("block")
-    tables = {c: Counts(slots, np.frombuffer(b"".join(rows[c].to_pylist()) or bytes(slots * 4), dtype=np.uint32)) for c in columns}
-    return tables, {c: sum(rows[c].to_pylist()) for c in totals}
-
-
-def _blocks(tables: list[Counts], totals: dict[str, int]) -> Iterator[pa.RecordBatch]:
-    """The tables block by block, so that no second copy of them is held; the totals go with the first block."""
-    names = ["block", *(f"t{i}" for i in range(len(tables))), *totals]
-    for n in range(BLOCKS):
-        part = [t.table.reshape(BLOCKS, -1)[n].tobytes() for t in tables]
-        own = [pa.array([0 if n else x], pa.int64()) for x in totals.values()]
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), *(pa.array([x], pa.binary()) for x in part), *own], names)
-
-
-def _lines_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(id, keys by line, flags by line) of each page, as views of the batch."""
-    column = batch.column("keys")
-    values, at = column.values.to_numpy(), column.offsets.to_numpy()
-    for i, (page, flags) in enumerate(zip(batch.column("id").to_pylist(), batch.column("flags"), strict=True)):
-        yield page, values[at[i] : at[i + 1]].reshape(-1, KEYS), np.frombuffer(flags.as_buffer(), dtype=np.int8)
+    unit = xxhash.xxh64_intdigest(f"{key[1].as_py()}\n{host}".encode("utf-8", "replace")) >> 1
+    row = {"unit": unit, "ids": ids, "sizes": [len(f) for f in out_flags], "keys": np.concatenate(out_keys), "flags": np.concatenate(out_flags).tobytes()}
+    return pa.Table.from_pylist([row], schema=pa.schema([("unit", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64())), ("flags", pa.binary())]))
+
+
+UNIT = "unit bigint, ids array<bigint>, sizes array<int>, keys array<bigint>, flags binary"
+
+
+def _pages(units: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, list[tuple[int, np.ndarray, np.ndarray]]]]:
+    """(unit, pages) with (id, keys by line, flags by line) of each page."""
+    for row in range(units.num_rows):
+        at = {c: units[c][row] for c in ("unit", "ids", "sizes", "keys", "flags")}
+        keys, flags = at["keys"].values.to_numpy().reshape(-1, KEYS), np.frombuffer(at["flags"].as_buffer(), dtype=np.int8)
+        ends = np.cumsum([0, *at["sizes"].as_py()])
+        yield at["unit"].as_py(), [(i, keys[a:b], flags[a:b]) for i, a, b in zip(at["ids"].as_py(), ends, ends[1:], strict=False)]
+
+
+def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The keys of each unit, each once: pages that hold it, pages at whose edge it stands, whether it is navigation."""
+    for b in batches:
+        for unit, pages in _pages(b):
+            k = np.concatenate([x.ravel() for _, x, _ in pages])
+            f = np.repeat(np.concatenate([x for _, _, x in pages]), KEYS)
+            page = np.repeat(np.arange(len(pages)), [x.size for _, x, _ in pages])
+            order = np.lexsort((page, k))
+            order = order[np.searchsorted(k[order], 1) :]  # 0 where a key doesn't apply
+            if not len(order):
+                continue
+            k, f, page = k[order], f[order], page[order]
+            once = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (page[1:] != page[:-1])]))
+            edge = np.maximum.reduceat((f & 2 > 0).astype(np.int64), once)
+            nav = np.maximum.reduceat((f & 16 > 0).astype(np.int64), once)
+            own = k[once]
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            n = np.diff(np.concatenate([first, [len(own)]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), unit)), pa.array(own[first]), pa.array(n), pa.array(np.add.reduceat(edge, first)), pa.array(np.maximum.reduceat(nav, first))], ["unit", "key", "n", "edge", "nav"])
+
+
+class Nodes:
+    """Counts of the nodes that a unit's keys are; 0 for keys that are none."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.table = table.sort_by("key")
+        self.keys = self.table["key"].to_numpy()
+
+    def of(self, keys: np.ndarray, column: str) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(keys.shape, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.table[column].to_numpy()[at], 0)
 
 
 def _real(keys: np.ndarray) -> np.ndarray:
@@ -220,8 +218,6 @@ def site_lines(pages: DataFrame) -> DataFrame:
     once. A page alone in its host is judged by the general keys only. Hosts with many pages are aligned in groups of
     about GROUP, whose counts are summed, so no host is one task.
     """
-    spark = pages.sparkSession
-
     def no_scans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array([not is_scan(t.as_py().split("\n")) for t in b.column("text")], pa.bool_()))
@@ -230,81 +226,77 @@ def site_lines(pages: DataFrame) -> DataFrame:
     rows = rows.mapInArrow(no_scans, "id bigint, host string, text string")
     sizes = pages.groupBy(F.coalesce("host", F.lit("")).alias("host")).agg(F.ceil(F.count("*") / GROUP).alias("parts"))
     grouped = rows.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).select("id", "host", "text", "part")
-    total = pages.count()
-    slots = min(MOST, max(FEWEST, 1 << math.ceil(math.log2(max(1, total * PER_PAGE)))))
-    trees = materialise(grouped.groupBy("host", "part").applyInArrow(_aligned, "id bigint, keys array<bigint>, flags binary"), "trees")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, edge = Counts(slots), Counts(slots)
-        for b in batches:
-            for _, k, f in _lines_of(b):
-                seen.add(_real(k))
-                edge.add(_real(k[f & 2 > 0]))
-        yield from _blocks([seen, edge], {})
-
-    first = spark.sparkContext.broadcast(_sum(trees.mapInArrow(count, "block int, t0 binary, t1 binary"), slots, ["t0", "t1"], [])[0])
-
-    def frameless(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, edge, bare, head = first.value["t0"], first.value["t1"], Counts(slots), Counts(slots)
-        totals = {"pages": 0, "frameless": 0}
-        for b in batches:
-            for _, k, f in _lines_of(b):
-                follows, own = _real(k[_follows(f), :3]), _real(k)
-                head.add(follows[seen.of(follows) >= 3])
+    trees = materialise(grouped.groupBy("host", "part").applyInArrow(_aligned, UNIT), "trees")
+    # the nodes each unit holds: keys that recur over all units, and navigation
+    whole = Window.partitionBy("key")
+    uses = trees.mapInArrow(_uses, "unit bigint, key bigint, n bigint, edge bigint, nav bigint")
+    counted = uses.select("unit", "key", F.sum("n").over(whole).alias("n"), F.sum("edge").over(whole).alias("edge"), F.max("nav").over(whole).alias("nav"))
+    held = materialise(counted.where((F.col("n") >= RECURS) | (F.col("nav") == 1)).drop("nav"), "nodes")
+
+    def frameless(units: pa.Table, own: pa.Table) -> pa.Table:
+        nodes, bare, head, totals = Nodes(own), [np.empty(0, np.int64)], [np.empty(0, np.int64)], [0, 0]
+        for _, unit in _pages(units):
+            for _, k, f in unit:
+                recur = lambda x: x[nodes.of(x, "n") >= RECURS]
+                head.append(recur(_real(k[_follows(f), :3])))
                 plain = _real(k[f & 4 == 0, 1])
-                n = seen.of(plain)
-                framed = (f & 18 > 0).any() or ((n >= 12) & (edge.of(plain) >= 0.5 * n)).any()
-                totals["pages"] += 1
+                n = nodes.of(plain, "n")
+                framed = (f & 18 > 0).any() or ((n >= 12) & (nodes.of(plain, "edge") >= 0.5 * n)).any()
+                totals[0] += 1
                 if not framed and len(f) and f[0] & 32:
-                    # keys that don't recur would only fill the table
-                    bare.add(own[seen.of(own) >= 3])
-                    totals["frameless"] += 1
-        yield from _blocks([bare, head], totals)
-
-    tables, totals = _sum(trees.mapInArrow(frameless, "block int, t0 binary, t1 binary, pages bigint, frameless bigint"), slots, ["t0", "t1"], ["pages", "frameless"])
-    second = spark.sparkContext.broadcast(tables)
-    del tables
-    share = min(0.9, max(0.02, totals["frameless"] / max(1, totals["pages"])))
+                    bare.append(recur(_real(k)))
+                    totals[1] += 1
+        (a, n_bare), (b, n_head) = (np.unique(np.concatenate(x), return_counts=True) for x in (bare, head))
+        zeros = lambda x: np.zeros(len(x), np.int64)
+        cols = [np.concatenate(x) for x in ((a, b), (n_bare, zeros(b)), (zeros(a), n_head))]
+        names = ["key", "bare", "head"]
+        sums = pa.table({**{c: pa.array(x) for c, x in zip(names, cols, strict=True)}, "pages": pa.nulls(len(cols[0]), pa.int64()), "frameless": pa.nulls(len(cols[0]), pa.int64())})
+        total = pa.table({**{c: pa.nulls(1, pa.int64()) for c in names}, "pages": pa.array([totals[0]]), "frameless": pa.array([totals[1]])})
+        return pa.concat_tables([sums, total])
+
+    units = trees.groupBy("unit")
+    seen = materialise(units.cogroup(held.groupBy("unit")).applyInArrow(frameless, "key bigint, bare bigint, head bigint, pages bigint, frameless bigint"), "frameless")
+    totals = seen.agg(F.sum("pages").alias("pages"), F.sum("frameless").alias("frameless")).first()
+    share = min(0.9, max(0.02, (totals["frameless"] or 0) / max(1, totals["pages"] or 0)))
     least = max(6, math.ceil(math.log(CHANCE) / math.log(1 - share)))
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, edge, bare, head = first.value["t0"], first.value["t1"], second.value["t0"], second.value["t1"]
-        for b in batches:
-            out_id, out_no = [], []
-            for i, k, f in _lines_of(b):
-                n, clean, rim, heads = seen.of(k), bare.of(k), edge.of(k), head.of(k[:, :2])
-                absent = (clean <= 0.01 * n) & (k != 0)
-                rims = rim >= 0.2 * n
-                sentence = f & 4 > 0
-                # an article's list item may recur by chance, but not at the edge of pages or very often
-                common = absent[:, 1] & (n[:, 1] >= 2 * least)
-                site = common | absent[:, 1] & rims[:, 1] & (n[:, 1] >= least)
-                site |= absent[:, 0] & absent[:, 1] & rims[:, 0] & (n[:, 0] >= 3)
-                site |= absent[:, 0] & absent[:, 1] & ((f & 1 > 0) & (n[:, 0] >= max(6, least // 3)) | (n[:, 0] >= least))
-                site |= absent[:, 2] & (n[:, 2] >= least) & ~sentence
-                # where an article's lines are broken, their starts and ends recur as well
-                free = rims[:, 3:] | (f[:1] & 64 == 0)
-                site |= (absent[:, 3:] & free & (n[:, 3:] >= 2 * least)).any(axis=1) & ~(sentence & (f & 1 == 0))
-                site |= (f & 16 > 0) & absent[:, 1]
-                site &= f & 8 == 0
-                # lists of other articles below a head of such lists
-                body = np.flatnonzero(sentence & ~site)
-                bottom = body[-1] if len(body) else -1
-                inside = False
-                for x in range(len(f)):
-                    if f[x] & 8:
-                        inside = False
-                    elif site[x]:
-                        inside = bool(x > bottom and (heads[x, :2] >= 0.5 * np.maximum(1, n[x, :2])).any())
-                    elif inside and not sentence[x]:
-                        site[x] = True
-                where = np.flatnonzero(site)
-                out_id.append(np.full(len(where), i))
-                out_no.append(where + 1)
-            if out_id:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_id).astype(np.int64)), pa.array(np.concatenate(out_no).astype(np.int64))], ["id", "line_no"])
-
-    return trees.mapInArrow(judge, "id bigint, line_no bigint")
+    sums = seen.where("key is not null").groupBy("key").agg(F.sum("bare").alias("bare"), F.sum("head").alias("head"))
+    known = held.join(sums, "key", "left").na.fill(0, ["bare", "head"])
+
+    def judge(units: pa.Table, own: pa.Table) -> pa.Table:
+        nodes, out_id, out_no = Nodes(own), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i, k, f in (page for _, unit in _pages(units) for page in unit):
+            n, clean, rim, heads = nodes.of(k, "n"), nodes.of(k, "bare"), nodes.of(k, "edge"), nodes.of(k[:, :2], "head")
+            absent = (clean <= 0.01 * n) & (k != 0)
+            rims = rim >= 0.2 * n
+            sentence = f & 4 > 0
+            # an article's list item may recur by chance, but not at the edge of pages or very often
+            common = absent[:, 1] & (n[:, 1] >= 2 * least)
+            site = common | absent[:, 1] & rims[:, 1] & (n[:, 1] >= least)
+            site |= absent[:, 0] & absent[:, 1] & rims[:, 0] & (n[:, 0] >= 3)
+            site |= absent[:, 0] & absent[:, 1] & ((f & 1 > 0) & (n[:, 0] >= max(6, least // 3)) | (n[:, 0] >= least))
+            site |= absent[:, 2] & (n[:, 2] >= least) & ~sentence
+            # where an article's lines are broken, their starts and ends recur as well
+            free = rims[:, 3:] | (f[:1] & 64 == 0)
+            site |= (absent[:, 3:] & free & (n[:, 3:] >= 2 * least)).any(axis=1) & ~(sentence & (f & 1 == 0))
+            site |= (f & 16 > 0) & absent[:, 1]
+            site &= f & 8 == 0
+            # lists of other articles below a head of such lists
+            body = np.flatnonzero(sentence & ~site)
+            bottom = body[-1] if len(body) else -1
+            inside = False
+            for x in range(len(f)):
+                if f[x] & 8:
+                    inside = False
+                elif site[x]:
+                    inside = bool(x > bottom and (heads[x, :2] >= 0.5 * np.maximum(1, n[x, :2])).any())
+                elif inside and not sentence[x]:
+                    site[x] = True
+            where = np.flatnonzero(site)
+            out_id.append(np.full(len(where), i))
+            out_no.append(where + 1)
+        return pa.table({"id": pa.array(np.concatenate(out_id)), "line_no": pa.array(np.concatenate(out_no))})
+
+    return units.cogroup(known.groupBy("unit")).applyInArrow(judge, "id bigint, line_no bigint")
 
 
 def main_text(pages: DataFrame, found: DataFrame) -> DataFrame:

@@ -238,14 +238,27 @@ def test_matching_is_simple_tree_matching():
     assert wrapper.matching(a, b) == {(0, 1), (0, 2), (1, 1)}
 
 
-def test_counts_go_on_beyond_16_bits(spark):
-    c, key = wrapper.Counts(1 << 10), np.array([12345678901234567], dtype=np.int64)
-    for _ in range(70_000):
-        c.add(key)
-    assert c.of(key)[0] == 70_000
-    parts = spark.range(0, 2, 1, 2).mapInArrow(lambda batches: [list(batches), *wrapper._blocks([c], {"pages": 70_000})][1:], "block int, t0 binary, pages bigint")
-    tables, totals = wrapper._sum(parts, 1 << 10, ["t0"], ["pages"])
-    assert tables["t0"].of(key)[0] == totals["pages"] == 140_000
+def test_nodes_are_counted_exactly_over_units(spark, monkeypatch):
+    """One host with all pages, in many units: each unit sends a key once, the sums are over all of them."""
+    monkeypatch.setattr(wrapper, "GROUP", 7)
+    kept = {}
+    materialise = wrapper.materialise
+    monkeypatch.setattr(wrapper, "materialise", lambda df, label: kept.setdefault(label, materialise(df, label)))
+    pages = [(i, None, f"Home | News\nLine of page {i}x\n\nAll rights by us") for i in range(90)]
+    found = wrapper.site_lines(spark.createDataFrame(pages + pages[:4], "id bigint, host string, text string")).collect()
+    assert {r.id for r in found if r.line_no == 1} == set(range(90))
+    units = kept["trees"].count()
+    assert 8 <= units <= 13
+    key = wrapper.line_keys("All rights by us", "")[1]
+    rows = kept["nodes"].where(F.col("key") == key).collect()
+    assert len(rows) == units and {r.n for r in rows} == {90}
+    home = kept["nodes"].where(F.col("key") == wrapper.line_keys("Home | News", "")[1]).collect()
+    assert {(r.n, r.edge) for r in home} == {(90, 90)}
+
+
+def test_wrapper_of_nothing(spark):
+    assert wrapper.site_lines(spark.createDataFrame([], "id bigint, host string, text string")).count() == 0
+    assert wrapper.site_lines(spark.createDataFrame([(1, None, None, 5), (2, "h", " \n", 5)], "id bigint, host string, text string, key int")).count() == 0
 
 
 def test_wrapper_leaves_out_the_pages_of_residue(spark, tmp_path):
