@@ -213,6 +213,63 @@ def test_scans(spark):
     assert "supply filters to" in rows[0].text and "panel set aside money" in rows[0].text and "high-purity" in rows[0].text and "contract. The" in rows[0].text
 
 
+def source_of(words, grams=(), confusions=None):
+    counts = {scans.key_of(w): n for w, n in words.items()}
+    for text in grams:
+        for n in (2, 3):
+            for i in range(len(text) - n + 1):
+                k = scans.gram_key(text[i : i + n])
+                counts[k] = counts.get(k, 0) + 50
+    return scans.Source(counts, 10_000, confusions or {})
+
+
+def test_a_known_word_is_decoded_by_its_neighbours():
+    source = source_of({"to": 100, "the": 200, "eat": 40, "cat": 40, "to eat": 30, "the cat": 35}, confusions={("c", "e"): 0.01})
+    line = lambda text: scans.decode_words(scans.lattice(text, (False, False), source)[1], source)
+    assert line("to cat") == ["to", "eat"] and line("the cat") == ["the", "cat"] and line("") == []
+    rare = source_of({"to": 100, "eat": 40, "cat": 40, "to eat": 30}, confusions={("c", "e"): 1e-9})
+    assert scans.decode_words(scans.lattice("to cat", (False, False), rare)[1], rare) == ["to", "cat"]
+
+
+def test_viterbi_is_the_best_of_all_paths():
+    rng = random.Random(8)
+    vocabulary = ["a" + x for x in "bcdefgh"]
+    source = source_of({w: rng.randint(1, 50) for w in vocabulary} | {f"{x} {y}": rng.randint(0, 9) for x in vocabulary for y in vocabulary})
+    for _ in range(20):
+        line = [[(w, -rng.random()) for w in rng.sample(vocabulary, 3)] for _ in range(5)]
+        score = lambda path: sum(c + source.after(w, path[i - 1][0] if i else None) for i, (w, c) in enumerate(path))
+        best = max(itertools.product(*line), key=score)
+        assert scans.decode_words(line, source) == [w for w, _ in best]
+
+
+def test_adjacent_chinese_signs_are_decoded_together():
+    source = source_of({}, ["我们的未来已入住新区"] * 3)
+    assert scans.decode_han("我们的末来己入住新区", source) == {3: "未", 5: "已"}
+    assert scans.decode_han("我们的未来已入住新区", source) == {} and scans.decode_han("", source) == {}
+
+
+def test_confusions_are_expected_counts():
+    source = source_of({"panel": 50, "the": 90})
+    got = scans.expected(["pane1", "the"], "", source)
+    assert got[("1", "l")] > 0.99 and sum(got.values()) < 1.01
+
+
+def test_counts_for_scans_are_exact(spark):
+    texts = ["the pump the pump", None, "", "泵控制器。泵控制器。", "the 泵"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").where("text is not null")
+    words = {r.key: r.n for r in scans.word_counts(df).collect()}
+    assert {w: words.get(scans.key_of(w)) for w in ("the", "pump", "the pump", "pump the", "pump pump")} == {"the": 3, "pump": 2, "the pump": 2, "pump the": 1, "pump pump": None}
+    grams = {r.key: r.n for r in scans.gram_counts(df).collect()}
+    assert grams[scans.gram_key("泵控")] == 2 and grams[scans.gram_key("泵控制")] == 2 and grams[scans.gram_key("器。泵")] == 1 and scans.gram_key("the") not in grams
+
+
+def test_scans_without_corpus_or_pages(spark):
+    nothing = spark.createDataFrame([], "text string")
+    assert scans.repaired(spark.createDataFrame([], "id bigint, text string"), nothing).count() == 0
+    rows = scans.repaired(spark.createDataFrame([(1, SCAN)], "id bigint, text string"), nothing).collect()
+    assert [r.id for r in rows] == [1]
+
+
 def test_wrapper(spark):
     rng = random.Random(6)
     pages, site = [], {}
@@ -248,7 +305,7 @@ def test_nodes_are_counted_exactly_over_units(spark, monkeypatch):
     found = wrapper.site_lines(spark.createDataFrame(pages + pages[:4], "id bigint, host string, text string")).collect()
     assert {r.id for r in found if r.line_no == 1} == set(range(90))
     units = kept["trees"].count()
-    assert 8 <= units <= 13
+    assert 8 <= units <= 14
     key = wrapper.line_keys("All rights by us", "")[1]
     rows = kept["nodes"].where(F.col("key") == key).collect()
     assert len(rows) == units and {r.n for r in rows} == {90}
