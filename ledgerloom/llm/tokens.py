@@ -25,6 +25,8 @@ BYTE_BPE = "byte_bpe_50k.tiktoken"
 #: The tokenizer's word pattern; the class for blanks is spelled out because Java's \\s knows ASCII only.
 WORD = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+"
 CHUNK_BYTES = 6 << 20
+#: Chunks of a task on average, where there are more than the cluster has cores.
+CHUNKS_IN_TASK = 32
 
 
 def _ranks(path: str) -> dict[bytes, int]:
@@ -58,19 +60,23 @@ def encode(df: DataFrame, id_col: str, text_col: str, tokenizer_dir: str = TOKEN
     full = rows.where(F.col("_text") != "")
     size = full.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     chunks = max(1, math.ceil(size / chunk_bytes))
-    placed = full.select("_id", "_text", F.pmod(F.xxhash64("_id"), F.lit(chunks)).cast("int").alias("_chunk")).repartition("_chunk")
+    # as many tasks as the texts need, whatever the session's number of partitions is
+    tasks = max(math.ceil(chunks / CHUNKS_IN_TASK), min(chunks, df.sparkSession.sparkContext.defaultParallelism))
+    placed = full.select("_id", "_text", F.pmod(F.xxhash64("_id"), F.lit(chunks)).cast("int").alias("_chunk")).repartition(tasks, "_chunk")
     split = placed.select("_id", "_chunk", words(F.col("_text")).alias("_words"))
     # the count keeps _id in this branch, so that both branches need the same columns and share one exchange of the texts
     used = split.select("_chunk", "_id", F.explode(F.array_distinct("_words")).alias("word")).groupBy("_chunk", "word").agg(F.count("_id").alias("n")).where("n >= 0")
 
-    @F.pandas_udf("array<int>")
-    def ids_of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoder(path)
-        for part in parts:
-            yield pd.Series([coder.encode_ordinary(w) for w in part])
+        for b in batches:
+            words_ = b.column("word").dictionary_encode()
+            ids = pa.array([coder.encode_ordinary(w) for w in words_.dictionary.to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column("_chunk"), b.column("word"), ids.take(words_.indices)], ["_at", "word", "ids"])
 
-    table = used.groupBy("word").agg(F.collect_list("_chunk").alias("_chunks")).withColumn("ids", ids_of("word"))
-    back = table.select(F.explode("_chunks").alias("_chunk"), "word", "ids")
+    # the entries of a word lie side by side, so it is encoded once; it has one entry for each chunk, and no list of chunks is ever built
+    entries = used.select("_chunk", "word").repartition(tasks, "word").sortWithinPartitions("word")
+    back = entries.mapInArrow(code, "_at int, word string, ids array<int>").repartition(tasks, "_at")
 
     def place(key: tuple, texts: pa.Table, dictionary: pa.Table) -> pa.Table:
         lists = texts["_words"].combine_chunks()
@@ -86,7 +92,7 @@ def encode(df: DataFrame, id_col: str, text_col: str, tokenizer_dir: str = TOKEN
         return pa.table({"_id": texts["_id"], "ids": pa.ListArray.from_arrays(pa.array(ends[starts].astype(np.int32)), coded.flatten())})
 
     id_type = rows.schema["_id"].dataType.simpleString()
-    coded = split.groupBy("_chunk").cogroup(back.groupBy("_chunk")).applyInArrow(place, f"_id {id_type}, ids array<int>")
+    coded = split.groupBy("_chunk").cogroup(back.groupBy("_at")).applyInArrow(place, f"_id {id_type}, ids array<int>")
     empty = rows.where(F.col("_text").isNull() | (F.col("_text") == "")).select("_id", F.array().cast("array<int>").alias("ids"))
     return coded.unionByName(empty).withColumnRenamed("_id", id_col)
 
