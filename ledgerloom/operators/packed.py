@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate
 
 import pandas as pd
@@ -17,8 +18,6 @@ _SPAN = r"(?:\"(?:[^\"\\]|\\.|\"\")*\"|'(?:[^'\\]|\\.|'')*'|“[^“”]*”|「
 QUOTED = rf"(?<=^|[|｜,，、;；/\t\n>\s\ufeff]){_SPAN}(?={BLANK}*(?:<br|[|｜,，、;；/\t\n]|$))"
 LITERAL = r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\""
 OPEN, CLOSE, ESCAPE = "", "", ""
-#: Most pieces that are put together again to one catalogue value.
-MOST_JOINED = 4
 
 
 def trimmed(c: Column) -> Column:
@@ -93,7 +92,7 @@ def readings(tokens: list[str], delims: list[str], known: set[tuple[int, int]],
             else:
                 to_next = [(a + 1, int(not is_known and end > i), int(not is_known), 0, 1, (i, end))]
             for j in longer.get(i, ()):
-                if j > end and j in atom and atom[j] - a < MOST_JOINED:
+                if j > end and j in atom:
                     to_next.append((atom[j] + 1, 0, 0, atom[j] - a, 1, (i, j)))
             steps.append(to_next)
         left = [0] * (len(ends) + 1)  # values at most from an atom on
@@ -145,8 +144,8 @@ def explode_packed(df: DataFrame, key: str, fields: dict[str, str | None], catal
     values; it is used for the fields whose name starts with "topic_". Null, empty and blank cells give no
     row; a cell without separators is one value; repeated values stay; other columns of df are ignored.
 
-    Quoted spans become indexed placeholders, the rest is split at every separator sign, and all runs of up to
-    MOST_JOINED pieces are looked up in the catalogue by a join. Only the choice between readings of one cell
+    Quoted spans become indexed placeholders, the rest is split at every separator sign, and the runs of as many pieces
+    as some catalogue value has are looked up in the catalogue by a join. Only the choice between readings of one cell
     (bounded by that cell) runs in Python, in Arrow batches.
     """
     names = list(fields)
@@ -171,12 +170,24 @@ def explode_packed(df: DataFrame, key: str, fields: dict[str, str | None], catal
     rest = cells.where(F.col("_list").isNull()).withColumns({"_mask": mask, "_spans": spans})
     rest = rest.withColumns({"_tokens": F.split("_mask", DELIMITER, -1), "_delims": F.regexp_extract_all("_mask", F.lit(DELIMITER), F.lit(0))})
 
-    # every run of pieces that may be one catalogue value
+    # every run of pieces that may be one catalogue value: the numbers of pieces catalogue values have
+    patterns = {f: c[3:] for f, c in fields.items() if c and c.startswith("re:")}
+    listed_names = [
+        catalogues[c].select(F.lit(f).alias("field_name"), trimmed(F.col(catalogues[c].columns[0])).alias("value")).distinct()
+        for f, c in fields.items()
+        if c and f not in patterns
+    ]
+    catalogue = reduce(DataFrame.unionByName, listed_names) if listed_names else None
+    lengths = {1}
+    if catalogue is not None:
+        # quoted spans of a value may stand as one piece in a cell
+        pieces = F.explode(F.array(*[F.size(F.split(c, DELIMITER, -1)) for c in (F.col("value"), masked(F.col("value"))[0])]))
+        lengths |= {r.n for r in catalogue.where("value != ''").select(pieces.alias("n")).distinct().collect()}
     size = F.size("_tokens")
     runs = F.flatten(
         F.transform(
-            F.sequence(F.lit(0), size - 1),
-            lambda i: F.transform(F.sequence(i, F.least(i + MOST_JOINED - 1, size - 1)), lambda j: F.struct(i.alias("i"), j.alias("j"))),
+            F.array(*[F.lit(n) for n in sorted(lengths)]),
+            lambda n: F.when(n <= size, F.transform(F.sequence(F.lit(0), size - n), lambda i: F.struct(i.alias("i"), (i + n - 1).alias("j")))).otherwise(F.array().cast("array<struct<i:int,j:int>>")),
         )
     )
     text = lambda i, j: F.array_join(
@@ -184,17 +195,8 @@ def explode_packed(df: DataFrame, key: str, fields: dict[str, str | None], catal
     )
     run = rest.select("_key", "field_name", "_tokens", "_delims", "_spans", F.explode(runs).alias("_r"))
     run = run.select("_key", "field_name", F.col("_r.i").alias("i"), F.col("_r.j").alias("j"), trimmed(restored(text(F.col("_r.i"), F.col("_r.j")), F.col("_spans"))).alias("value"))
-    patterns = {f: c[3:] for f, c in fields.items() if c and c.startswith("re:")}
     found = [run.where((F.col("field_name") == f) & F.col("value").rlike(p)).select("_key", "field_name", "i", "j") for f, p in patterns.items()]
-    listed_names = [
-        catalogues[c].select(F.lit(f).alias("field_name"), trimmed(F.col(catalogues[c].columns[0])).alias("value")).distinct()
-        for f, c in fields.items()
-        if c and f not in patterns
-    ]
-    if listed_names:
-        catalogue = listed_names[0]
-        for more in listed_names[1:]:
-            catalogue = catalogue.unionByName(more)
+    if catalogue is not None:
         found.append(run.where(F.col("field_name").isin([f for f in fields if f not in patterns])).join(catalogue, ["field_name", "value"], "left_semi").select("_key", "field_name", "i", "j"))
     known = found[0] if found else run.where(F.lit(False)).select("_key", "field_name", "i", "j")
     for more in found[1:]:

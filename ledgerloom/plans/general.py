@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zoneinfo
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +13,14 @@ from ..sources.tables import table
 from .registry import CORE
 
 UUID = r"re:^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
-#: Zones a row may be in whose zone is given nowhere.
-CANDIDATE_ZONES = ["UTC", "Asia/Shanghai", "Asia/Tokyo", "Asia/Kolkata", "Asia/Kathmandu", "Australia/Sydney", "Europe/Berlin", "Europe/London", "America/New_York"]
+
+def candidate_zones(*columns: DataFrame) -> list[str]:
+    """Zones a row may be in whose zone is given nowhere: all that the tables name, and UTC; at most as many as the zone database has."""
+    named = columns[0]
+    for more in columns[1:]:
+        named = named.unionByName(more)
+    known = [z for z in zoneinfo.available_timezones() if "/" in z]
+    return sorted({"UTC", *(r.zone for r in named.where(F.col("zone").isin(known)).distinct().collect())})
 
 
 @CORE.add("p2_found")
@@ -30,11 +38,12 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     media = table(spark, sf_dir, "media_site").select("media", F.col("zone").alias("_zone_of"), F.col("date_order").alias("_order_of"))
     results = table(spark, sf_dir, "search_result").select("result_id", "media", "publish_date", "discovered_at").dropDuplicates(["result_id"])
     results = results.join(media, "media", "left")
-    found = normalise(results, "publish_date", "_zone_of", "_order_of", ["media"], "discovered_at", CANDIDATE_ZONES)
+    plans = table(spark, sf_dir, "research_plan").select("plan_id", "config_version", "start_date", "zone", "date_order", "created_at").dropDuplicates(["plan_id"])
+    zones = candidate_zones(media.select(F.col("_zone_of").alias("zone")), plans.select("zone"))
+    found = normalise(results, "publish_date", "_zone_of", "_order_of", ["media"], "discovered_at", zones)
     # exploding drops the nulls; a filter would be pushed into the parsing and repeat it
     utc = F.explode(F.filter(F.array("utc_us"), lambda x: x.isNotNull())).alias("utc_us")
     a = found.select(F.lit("search_result").alias("src"), F.col("result_id").cast("string").alias("row_key"), utc)
-    plans = table(spark, sf_dir, "research_plan").select("plan_id", "config_version", "start_date", "zone", "date_order", "created_at").dropDuplicates(["plan_id"])
-    planned = normalise(plans, "start_date", "zone", "date_order", ["config_version"], "created_at", CANDIDATE_ZONES)
+    planned = normalise(plans, "start_date", "zone", "date_order", ["config_version"], "created_at", zones)
     b = planned.select(F.lit("research_plan").alias("src"), F.col("plan_id").alias("row_key"), utc)
     return a.unionByName(b)

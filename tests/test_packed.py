@@ -56,3 +56,13 @@ def test_long_cells_are_read_as_short_ones():
 def test_all_choices_among_many_kinds_of_separator():
     tokens, delims = list("abcdefgh"), [",", ";", "/", "|", "、", "；", "，"]
     assert readings(tokens, delims, set(), 3) == [(0, 0), (1, 1), (2, 7)]
+
+
+def test_values_of_many_pieces_are_joined(spark):
+    value, quoted = "a/b/c/d,e;f|g", 'x|"p,q"|z'
+    cat = {"topic": spark.createDataFrame([(value,), (quoted,), ("A",), (None,), ("",)], "label string")}
+    df = spark.createDataFrame([(1, None, f"A|{value}|A"), (2, 2, f"{quoted},{value}")], "k bigint, n int, topic_names string")
+    got = {}
+    for r in explode_packed(df, "k", {"topic_names": "topic"}, cat, "n").collect():
+        got.setdefault(r.k, []).append((r.pos, r.value))
+    assert sorted(got[1]) == [(1, "A"), (2, value), (3, "A")] and [v for _, v in sorted(got[2])][1] == value

@@ -54,3 +54,10 @@ def test_empty_and_extra_columns(spark, extra):
     df = spark.createDataFrame([], f"text string, zone string, ord string, {extra} string")
     assert normalise(df, "text", "zone", "ord").columns == ["text", "zone", "ord", extra, "utc_us"]
     assert normalise(df, "text", "zone", "ord").count() == 0
+
+
+def test_zones_are_those_the_tables_name(spark):
+    from ledgerloom.plans.general import candidate_zones
+
+    df = spark.createDataFrame([("Africa/Cairo",), ("Africa/Cairo",), (None,), ("Nowhere/Land",), ("",)], "zone string")
+    assert candidate_zones(df, df.where("false")) == ["Africa/Cairo", "UTC"]
