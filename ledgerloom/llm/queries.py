@@ -13,7 +13,7 @@ from .neardup import expanded, similar_classes
 from .residue import residue
 from .scans import repaired
 from .spans import shared_parts, shared_spans, sharing_pairs
-from .tokens import encode
+from .tokens import decode, encode, pieces
 from .wrapper import main_text, site_lines
 from .vectors import neighbour_pairs
 
@@ -32,6 +32,12 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+@LLM.add("p8_decoded", sql="SELECT doc_id, coalesce(text, '') AS text FROM documents")
+def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of all documents, decoded from their ids by the join with the pieces."""
+    return decode(encode(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id", "ids", pieces(spark))
+
+
 def _sized(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     """Documents with their size in tokens and their weight, as a table, and their number."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
