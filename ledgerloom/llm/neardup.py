@@ -3,6 +3,9 @@
 Equal texts form a class that is handled once. Bands of MinHash values propose pairs of classes; the values of a
 pair are compared in steps, and a pair is dropped as soon as the posterior probability that its similarity
 reaches the threshold is below a tolerance. The rest is verified exactly on its character grams.
+
+Groups need no list of all pairs: the members of each band group are linked to its first member, what is verified
+forms components, and only pairs between different components are proposed after that.
 """
 
 from __future__ import annotations
@@ -15,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graphs import components
 from ..sources.tables import materialise
 from .textgrams import code_points, gram_hashes, mix
 
 GRAM = 5
-BANDS = 32
-ROWS = 6
+BANDS = 34
+ROWS = 5
 #: Bits kept of each MinHash value for the comparison, and values in a 64-bit word.
 KEPT = 4
 IN_WORD = 64 // KEPT
@@ -90,21 +94,42 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("uid"), lists(key), lists(words)], ["uid", "keys", "words"])
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first class of each key with each other one that has it, from rows sorted by key and uid."""
+    key, first = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k, u = batch.column("key").to_numpy(), batch.column("uid").to_numpy()
+        start = np.concatenate([[True], k[1:] != k[:-1]])
+        at = np.maximum.accumulate(np.where(start, np.arange(len(k)), 0))
+        rep = np.where((k == key) & (first is not None), first if first is not None else 0, u[at])
+        other = rep != u
+        key, first = k[-1], rep[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep, u)[other]), pa.array(np.maximum(rep, u)[other])], ["a", "b"])
+
+
 def _pairs(batches: Iterator[pa.RecordBatch], group: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of the classes that share a key, from rows sorted by key; rows of groups of more than group come out as (uid, null, key)."""
+    """Pairs of the classes that share a key and differ in part, from rows sorted by key; rows of groups of more than group come out as (uid, null, key)."""
 
     def out(a: np.ndarray, b: np.ndarray | None, key: np.ndarray | None) -> pa.RecordBatch:
         none = pa.nulls(len(a), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(a), none if b is None else pa.array(b), none if key is None else pa.array(key)], ["a", "b", "hot"])
 
-    left_k, left_u, hot = np.empty(0, np.int64), np.empty(0, np.int64), None
+    def crossing(at: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
+        differ = c[x] != c[y]
+        a, b = u[x[differ]], u[y[differ]]
+        return out(np.minimum(a, b), np.maximum(a, b), None)
+
+    empty = np.empty(0, np.int64)
+    left_k, left_u, left_c, hot = empty, empty, empty, None
     for batch in batches:
-        k = np.concatenate([left_k, batch.column("key").to_numpy()])
-        u = np.concatenate([left_u, batch.column("uid").to_numpy()])
+        k, u, c = (np.concatenate([x, batch.column(n).to_numpy()]) for x, n in ((left_k, "key"), (left_u, "uid"), (left_c, "part")))
         if not len(k):
             continue
         once = np.concatenate([[True], (k[1:] != k[:-1]) | (u[1:] != u[:-1])])  # a record may be delivered twice
-        k, u = k[once], u[once]
+        k, u, c = k[once], u[once], c[once]
         start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         size = np.diff(np.concatenate([start, [len(k)]]))
         last = start[-1]
@@ -116,29 +141,28 @@ def _pairs(batches: Iterator[pa.RecordBatch], group: int) -> Iterator[pa.RecordB
             rows = np.concatenate([np.arange(s, s + n) for s, n in zip(start[large], size[large], strict=True)])
             yield out(u[rows], None, k[rows])
         small = done & ~large & (size > 1)
-        if small.any():
-            s, n = start[small], size[small]
-            got_a, got_b = [], []
-            for width in np.unique(n):
-                at = s[n == width]
-                i, j = np.triu_indices(width, 1)
-                got_a.append(u[(at[:, None] + i).ravel()])
-                got_b.append(u[(at[:, None] + j).ravel()])
-            a, b = np.concatenate(got_a), np.concatenate(got_b)
-            yield out(np.minimum(a, b), np.maximum(a, b), None)
+        for width in np.unique(size[small]):
+            # bounds what is held at once
+            at, (i, j) = start[small & (size == width)], np.triu_indices(width, 1)
+            step = max(1, 1_000_000 // len(i))
+            for s in range(0, len(at), step):
+                yield crossing(at[s : s + step], i, j)
         hot = k[last] if open_hot else hot if k[last] == hot else None
-        left_k, left_u = (np.empty(0, np.int64),) * 2 if open_hot else (k[last:], u[last:])
+        left_k, left_u, left_c = (empty,) * 3 if open_hot else (k[last:], u[last:], c[last:])
     if len(left_k) > 1:
-        i, j = np.triu_indices(len(left_k), 1)
-        a, b = left_u[i], left_u[j]
-        yield out(np.minimum(a, b), np.maximum(a, b), None)
+        k, u, c = left_k, left_u, left_c
+        yield crossing(np.zeros(1, np.int64), *np.triu_indices(len(u), 1))
 
 
 def _block_pairs(t: pa.Table, least: list[int]) -> pa.Table:
-    """Pairs of one block of a large group, or of two blocks of it, that stay by their words."""
+    """Pairs of one block of a large group, or of two blocks of it, that differ in part and stay by their words.
+
+    A pair may share several large groups; it comes out only for the first band that it shares.
+    """
     uid, at = np.unique(t["a"].to_numpy(), return_index=True)  # a record may be delivered twice
-    words = t["words"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)[at]
-    own, i, j = t["own"].to_numpy()[at], t["i"][0].as_py(), t["j"][0].as_py()
+    matrix = lambda c, n: t[c].combine_chunks().flatten().to_numpy().reshape(-1, n)[at]
+    words, keys = matrix("words", WORDS).view(np.uint64), matrix("keys", BANDS)
+    part, own, i, j, hot = t["part"].to_numpy()[at], t["own"].to_numpy()[at], t["i"][0].as_py(), t["j"][0].as_py(), t["hot"][0].as_py()
     x, y = np.flatnonzero(own == i), np.flatnonzero(own == j)
     ones = np.uint64(int("1" * IN_WORD, 2**KEPT))
 
@@ -148,19 +172,22 @@ def _block_pairs(t: pa.Table, least: list[int]) -> pa.Table:
 
     got_a, got_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for s in range(0, len(x), 256):  # bounds what is held at once
-        part = x[s : s + 256]
-        seen = same(words[part, 0][:, None] ^ words[y, 0][None, :])
-        keep = seen >= least[0]
+        rows = x[s : s + 256]
+        seen = same(words[rows, 0][:, None] ^ words[y, 0][None, :])
+        keep = (seen >= least[0]) & (part[rows][:, None] != part[y][None, :])
         if i == j:
-            keep &= part[:, None] < y[None, :]
+            keep &= rows[:, None] < y[None, :]
         r, c = np.nonzero(keep)
-        a, b, seen = part[r], y[c], seen[r, c]
+        a, b, seen = rows[r], y[c], seen[r, c]
         for w in range(1, WORDS):
             seen = seen + same(words[a, w] ^ words[b, w])
             stays = seen >= least[w]
             a, b, seen = a[stays], b[stays], seen[stays]
-        got_a.append(uid[a])
-        got_b.append(uid[b])
+        if len(a):
+            first = np.argmax(keys[a] == keys[b], axis=1)
+            here = keys[a, first] == hot
+            got_a.append(uid[a[here]])
+            got_b.append(uid[b[here]])
     a, b = np.concatenate(got_a), np.concatenate(got_b)
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
@@ -187,14 +214,8 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(fits), batch.column("b").filter(fits), pa.array(j).filter(fits)], ["a", "b", "similarity"])
 
 
-def similar_classes(texts: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(classes, links) of texts (uid, text); the lowest bit of uid parts collections that are not compared.
-
-    classes: (uid, rep) with the smallest uid of the equal texts, one row per text. links: (a, b, similarity), a < b, for pairs of
-    classes whose Jaccard similarity on distinct GRAM-grams is at least threshold. A text with no gram is linked with
-    no other. Null texts have no row; a uid that comes twice with one text counts once. A pair at the threshold is proposed with probability
-    1 - (1 - threshold^ROWS)^BANDS (0.982 at 0.7, 0.998 at 0.75) and survives the pruning with about 1 - TOLERANCE per step.
-    """
+def _classes(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(several, once, plain): the members of classes of equal texts, the signatures of one text of each class, and the texts."""
     texts = texts.where("text is not null")
     part = F.col("uid").bitwiseAND(1)
     ids = texts.select("uid", part.alias("part"), F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2"))
@@ -203,26 +224,68 @@ def similar_classes(texts: DataFrame, threshold: float) -> tuple[DataFrame, Data
     copies = several.where("uid != rep").select("uid")
     # each class once; Spark broadcasts the copies only if they turn out few
     single = texts.where(F.length("text") >= GRAM).select("uid", "text").join(copies, "uid", "left_anti")
-    once = materialise(single.mapInArrow(_signatures, "uid bigint, keys array<bigint>, words array<bigint>"), "signatures")
-    rows = once.select("uid", F.explode("keys").alias("key"))
+    return several, materialise(single.mapInArrow(_signatures, "uid bigint, keys array<bigint>, words array<bigint>"), "signatures"), texts.select("uid", "text")
+
+
+def _compared(pairs: DataFrame, once: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) that the comparison of their MinHash values leaves."""
+    words = once.select("uid", "words")
+    both = pairs.join(words.select(F.col("uid").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("uid").alias("b"), F.col("words").alias("wb")), "b")
+    return both.where(_stays(threshold)).select("a", "b")
+
+
+def _exact(pairs: DataFrame, plain: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, similarity) of the pairs whose similarity is at least threshold."""
+    full = pairs.join(plain.select(F.col("uid").alias("a"), F.col("text").alias("text_a")), "a").join(plain.select(F.col("uid").alias("b"), F.col("text").alias("text_b")), "b")
+    return full.select("a", "b", "text_a", "text_b").mapInArrow(lambda x: _verified(x, threshold), "a bigint, b bigint, similarity double").distinct()
+
+
+def _survivors(signed: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of rows of signed (uid, part, keys, words) that share a band, differ in part and are left by the comparison."""
+    rows = signed.select("uid", "part", F.explode("keys").alias("key"))
     group, least = GROUP, least_matches(threshold, TOLERANCE)
     proposed = rows.repartition("key").sortWithinPartitions("key", "uid").mapInArrow(lambda x: _pairs(x, group), "a bigint, b bigint, hot bigint")
     proposed = materialise(proposed, "proposed")
     # a group that is too large to be paired at once: each of its rows goes to all pairs of blocks that its own block is in
-    hot = proposed.where("hot is not null").select("a", "hot").distinct()
-    blocks = hot.groupBy("hot").agg(F.ceil(F.count("*") / (group * BLOCK)).cast("int").alias("n"))
-    placed = hot.join(blocks, "hot").withColumn("own", F.pmod(F.xxhash64("a"), F.col("n")).cast("int")).join(once.select(F.col("uid").alias("a"), "words"), "a")
-    placed = placed.select("hot", "a", "own", "words", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
-    placed = placed.select("hot", "a", "own", "words", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    hot = proposed.where("hot is not null").select("a", "hot").distinct().join(signed.select(F.col("uid").alias("a"), "part", "keys", "words"), "a")
+    blocks = hot.groupBy("hot").agg(F.ceil(F.count("*") / (group * BLOCK)).cast("int").alias("n"), F.min("part").alias("p1"), F.max("part").alias("p2")).where("p1 < p2")
+    placed = hot.join(blocks.select("hot", "n"), "hot").withColumn("own", F.pmod(F.xxhash64("a"), F.col("n")).cast("int"))
+    kept = ["hot", "a", "part", "own", "keys", "words"]
+    placed = placed.select(*kept, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
+    placed = placed.select(*kept, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     in_blocks = placed.groupBy("hot", "i", "j").applyInArrow(lambda t: _block_pairs(t, least), "a bigint, b bigint")
     pairs = proposed.where("hot is null").select("a", "b").distinct()
-    words = once.select("uid", "words")
-    compared = pairs.join(words.select(F.col("uid").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("uid").alias("b"), F.col("words").alias("wb")), "b")
-    survivors = compared.where(_stays(threshold)).select("a", "b").unionByName(in_blocks).distinct()
-    plain = texts.select("uid", "text")
-    full = survivors.join(plain.select(F.col("uid").alias("a"), F.col("text").alias("text_a")), "a").join(plain.select(F.col("uid").alias("b"), F.col("text").alias("text_b")), "b")
-    links = full.select("a", "b", "text_a", "text_b").mapInArrow(lambda x: _verified(x, threshold), "a bigint, b bigint, similarity double").distinct()
-    return several, links
+    return _compared(pairs, signed, threshold).unionByName(in_blocks).distinct()
+
+
+def similar_classes(texts: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(classes, links) of texts (uid, text); the lowest bit of uid parts collections that are not compared.
+
+    classes: (uid, rep) with the smallest uid of the equal texts, one row per text. links: (a, b, similarity), a < b, for pairs of
+    classes whose Jaccard similarity on distinct GRAM-grams is at least threshold. A text with no gram is linked with
+    no other. Null texts have no row; a uid that comes twice with one text counts once. A pair at the threshold is proposed with probability
+    1 - (1 - threshold^ROWS)^BANDS (0.998 at 0.7, 0.9999 at 0.75) and survives the pruning with about 1 - TOLERANCE per step.
+    """
+    several, once, plain = _classes(texts)
+    return several, _exact(_survivors(once.withColumn("part", F.col("uid")), threshold), plain, threshold)
+
+
+def similar_groups(texts: DataFrame, threshold: float) -> DataFrame:
+    """(uid, group) of the texts (uid, text) that are equal or similar to another one; group is the smallest uid connected with them.
+
+    The same links as those of similar_classes hold the groups together, but no group lists its pairs: a band group gives
+    one star, and pairs within a component that is known already are left out.
+    """
+    several, once, plain = _classes(texts)
+    rows = once.select("uid", F.explode("keys").alias("key"))
+    stars = rows.repartition("key").sortWithinPartitions("key", "uid").mapInArrow(_stars, "a bigint, b bigint").distinct()
+    near = materialise(_exact(_compared(stars, once, threshold), plain, threshold).select("a", "b"), "stars")
+    parts = components(near).select(F.col("node").alias("uid"), F.col("component").alias("part"))
+    signed = materialise(once.join(parts, "uid", "left").withColumn("part", F.coalesce("part", "uid")), "parts")
+    far = materialise(_exact(_survivors(signed, threshold), plain, threshold).select("a", "b"), "crossing")
+    groups = components(near.unionByName(far)).select(F.col("node").alias("rep"), F.col("component").alias("group"))
+    members = several.unionByName(groups.select(F.col("rep").alias("uid"), "rep").join(several, "uid", "left_anti"))
+    return members.join(groups, "rep", "left").select("uid", F.coalesce("group", "rep").alias("group"))
 
 
 def _stays(threshold: float) -> Column:

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.graphs import components
 from ..plans.registry import Registry
 from ..sources.tables import materialise, table
 from .mixture import mix, plan_budgets, quality, report
-from .neardup import expanded, similar_classes
+from .neardup import expanded, similar_classes, similar_groups
 from .residue import residue
 from .scans import repaired
 from .spans import shared_parts, shared_spans, sharing_pairs
@@ -158,12 +157,7 @@ def p1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @LLM.add("p4_groups")
 def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per record with a similar or equal one: its group (the smallest id connected with it) and its class's links."""
-    classes, links = similar_classes(_compared(spark, sf_dir), 0.7)
-    classes, links = materialise(classes.distinct(), "classes"), materialise(links, "similar")
-    groups = components(links.select("a", "b"))
-    ends = links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
-    alone = ends.select(F.col("rep").alias("uid"), "rep").join(classes, "uid", "left_anti")
-    rows = classes.unionByName(alone).join(ends, "rep", "left").join(groups, F.col("rep") == F.col("node"), "left")
+    """One row per record with a similar or equal one: its group, named by the smallest id connected with it."""
+    groups = similar_groups(_compared(spark, sf_dir), 0.7)
     src = F.when(F.col("uid").bitwiseAND(1) == 0, "search_result").otherwise("remote_page_result")
-    return rows.select(src.alias("src"), F.shiftright("uid", 1).alias("id"), F.shiftright(F.coalesce("component", "rep"), 1).alias("group_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    return groups.select(src.alias("src"), F.shiftright("uid", 1).alias("id"), F.shiftright("group", 1).alias("group_id"))
