@@ -55,6 +55,8 @@ END = "。！？；：.!?;:”」"
 # What stands in the frame of web pages only.
 WEB = re.compile(r"©|cookie|版权所有|当前位置|您的位置|备案编号|友情链接|you are here|terms of use|all rights reserved|^home$|^首页$|分享到|点赞|^advertisement$|back to top|page views", re.I | re.M)
 CJK = re.compile(r"[一-鿿]")
+LETTER = re.compile(r"[a-z]")
+ODD_INSIDE = re.compile(r"[a-z][@†!$|€¡£¢01][a-z]|^[@†!$|][a-z]{2,}|[a-z][†@$|]$")
 TOKEN = re.compile(r"[^\s,;:.()（）\[\]“”\"'，。；：/|-]+(?:'[a-z]+)?")
 
 
@@ -156,6 +158,7 @@ class Source:
         self.counts, self.words, self.confusions = counts, max(words, 1), confusions
         self.keys: dict[str, int] = {}
         self.ways: dict[str, list] = {}
+        self.options: dict[str, list] = {}
 
     def word(self, w: str) -> int:
         k = self.keys.get(w)
@@ -235,6 +238,16 @@ def candidates(word: str, source: Source) -> list[tuple[str, float]]:
     return [(word, 0.0)] + [(w, sum(source.slip(*x) for x in took)) for w, took in known_slips(word, source)]
 
 
+def options(token: str, source: Source) -> list[tuple[str, float]]:
+    """The candidates of a token of a line; a sign at its end may be punctuation."""
+    got = source.options.get(token)
+    if got is None:
+        bare = token.rstrip("!?%")
+        got = candidates(bare if source.word(bare) else token, source) if len(token) > 2 and is_word(token) else [(token, 0.0)]
+        source.options[token] = got
+    return got
+
+
 def likeliest(word: str, source: Source) -> str:
     """The likeliest printed word, without context."""
     return max(candidates(word, source), key=lambda x: (source.alone(x[0]) + x[1], x[0] == word))[0]
@@ -326,7 +339,7 @@ def expected(tokens: list[str], run: str, source: Source) -> dict[tuple[str, str
                 out[pair] = out.get(pair, 0.0) + math.exp(x - top) / whole
 
     for w in tokens:
-        if not source.word(w) and not source.word(w.lower()):
+        if len(options(w, source)) > 1 and not source.word(w) and not source.word(w.lower()):
             ways = [(w, []), *known_slips(w, source)]
             if len(ways) > 1:
                 share([(source.alone(v) + sum(source.slip(*x) for x in took), took) for v, took in ways])
@@ -345,7 +358,7 @@ def body_of(lines: list[str], heads: set[int]) -> tuple[list[str], list[int]]:
 
 
 def is_word(w: str) -> bool:
-    return len(w) > 1 and re.search(r"[a-z]", w) is not None and not CJK.search(w)
+    return len(w) > 1 and LETTER.search(w) is not None and not CJK.search(w)
 
 
 def broken(s: str, t: str) -> tuple[str, str] | None:
@@ -370,7 +383,7 @@ def stream(lines: list[str], body: list[int]) -> tuple[str, list[tuple[int, int]
 
 
 def tokens_of(lines: list[str], body: list[int]) -> list[str]:
-    return [m.group(0) for i in body for m in TOKEN.finditer(lines[i]) if is_word(m.group(0))]
+    return [w for i in body if LETTER.search(lines[i]) for w in TOKEN.findall(lines[i]) if is_word(w)]
 
 
 def asked(lines: list[str], heads: set[int], words: set[str], done: set[str]) -> set[str]:
@@ -382,7 +395,7 @@ def asked(lines: list[str], heads: set[int], words: set[str], done: set[str]) ->
             done.add(w)
             words.update((w, w.lower(), *slips(w)))
 
-    for w in tokens_of(lines, body):
+    for w in set(tokens_of(lines, body)):
         ask(w)
         ask(w.rstrip("!?%"))
     for a, b in zip(body, body[1:], strict=False):
@@ -395,16 +408,14 @@ def asked(lines: list[str], heads: set[int], words: set[str], done: set[str]) ->
 
 def lattice(line: str, skip: tuple[bool, bool], source: Source) -> tuple[list[re.Match], list[list[tuple[str, float]]]]:
     """The tokens of a line with their candidates; parts of broken words at its ends (skip) stay as read."""
+    if not LETTER.search(line):
+        return [], []
     matches = list(TOKEN.finditer(line))
-    options = []
-    for k, m in enumerate(matches):
-        w = m.group(0)
-        bare = w.rstrip("!?%")
-        if not is_word(w) or k == 0 and skip[0] or k == len(matches) - 1 and skip[1]:
-            options.append([(w, 0.0)])
-        else:
-            options.append(candidates(bare if source.word(bare) else w, source) if len(w) > 2 else [(w, 0.0)])
-    return matches, options
+    ways = [options(m.group(0), source) for m in matches]
+    for k, held in ((0, skip[0]), (-1, skip[1])):
+        if held and ways:
+            ways[k] = [(matches[k].group(0), 0.0)]
+    return matches, ways
 
 
 def repair(lines: list[str], heads: set[int], source: Source) -> tuple[list[tuple[int, str]], str]:
@@ -443,11 +454,13 @@ def repair(lines: list[str], heads: set[int], source: Source) -> tuple[list[tupl
     cut_tail = {b for a, b in zip(body, body[1:], strict=False) if a in split_word}
     for i in body:
         s = fixed[i]
-        matches, options = lattice(s, (i in cut_tail, i in split_word), source)
+        matches, ways = lattice(s, (i in cut_tail, i in split_word), source)
         out, at = [], 0
-        for k, (m, w) in enumerate(zip(matches, decode_words(options, source), strict=True)):
-            read = options[k][0][0]
-            odd = is_word(read) and not source.word(read) and re.search(r"[a-z][@†!$|€¡£¢01][a-z]|^[@†!$|][a-z]{2,}|[a-z][†@$|]$", read)
+        # where nothing is open there is one path
+        path = decode_words(ways, source) if any(len(x) > 1 for x in ways) else [x[0][0] for x in ways]
+        for k, (m, w) in enumerate(zip(matches, path, strict=True)):
+            read = ways[k][0][0]
+            odd = ODD_INSIDE.search(read) and is_word(read) and not source.word(read)
             if w != read or odd and not (i in cut_tail and k == 0 or i in split_word and k == len(matches) - 1):
                 garbled.add(i)
             if w != read:
@@ -593,8 +606,11 @@ def repaired(pages: DataFrame, corpus: DataFrame) -> DataFrame:
             for sign in INTENDED:
                 signs[sign] = signs.get(sign, 0) + whole.count(sign)
             for i in body:
-                _, options = lattice(lines[i].strip(" \t\r"), (False, False), source)
-                for a, b in zip(options, options[1:], strict=False):
+                _, ways = lattice(lines[i].strip(" \t\r"), (False, False), source)
+                for a, b in zip(ways, ways[1:], strict=False):
+                    # pairs of words that are not open are the same on all paths
+                    if len(a) == 1 and len(b) == 1:
+                        continue
                     pairs.update(key_of(f"{x} {y}") for x, _ in a if source.word(x) for y, _ in b if source.word(y))
         rows = [(None, None, a, b, n) for (a, b), n in confusions.items()] + [(None, None, None, s, float(n)) for s, n in signs.items() if n]
         asks = _keys(t["chunk"][0].as_py(), pairs)
