@@ -103,11 +103,16 @@ def _residue(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = lambda name: F.lit(name).alias("src")
     snippets = results.select(src("search_result"), F.col("result_id").alias("row_key"), F.col("snippet").alias("text"), F.regexp_extract("url", r"^[a-z]+://([^/]+)", 1).alias("host"))
     texts = snippets.unionByName(pages.select(src("remote_page_result"), F.col("page_id").alias("row_key"), F.col("extracted_text").alias("text"), F.col("site").alias("host")))
-    own = results.groupBy("result_id").agg(F.max("title").alias("title"), F.max("url").alias("url"))
-    of_pages = pages.groupBy("page_id").agg(F.max("result_id").alias("result_id"), F.max("url").alias("url")).join(own.select("result_id", "title"), "result_id", "left")
-    heads = own.select(src("search_result"), F.col("result_id").alias("row_key"), "title", "url")
-    heads = heads.unionByName(of_pages.select(src("remote_page_result"), F.col("page_id").alias("row_key"), "title", "url"))
-    return residue(texts, heads, ["src", "row_key"], "text", "host", "title", "url")
+
+    def heads(rows: DataFrame) -> DataFrame:
+        asked = rows.where("src = 'remote_page_result'").select(F.col("row_key").alias("page_id")).join(pages.select("page_id", "result_id", "url"), "page_id")
+        titles = results.select("result_id", "title").join(asked.select("result_id").distinct(), "result_id", "left_semi").groupBy("result_id").agg(F.max("title").alias("title"))
+        of_pages = asked.join(titles, "result_id", "left").select(src("remote_page_result"), F.col("page_id").alias("row_key"), "title", "url")
+        of_results = rows.where("src = 'search_result'").join(results.select(F.col("result_id").alias("row_key"), "title", "url"), "row_key")
+        return of_results.select("src", "row_key", "title", "url").unionByName(of_pages)
+
+    names = results.select("title", "url").unionByName(pages.select(F.lit(None).cast("string").alias("title"), "url"))
+    return residue(texts, heads, names, ["src", "row_key"], "text", "host", "title", "url")
 
 
 @LLM.add("p6_found")

@@ -8,6 +8,8 @@ navigation; placeholder detectors read whole texts, since one unfilled placehold
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,21 +77,28 @@ def _lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x.rlike(r"\S") & ~_is_nav(x))
 
 
-def _responses(texts: DataFrame, heads: DataFrame, lines: DataFrame, key: list[str], records: int) -> DataFrame:
-    """(form): the masked lines that are responses of servers or templates, not content."""
-    by_host = lines.groupBy("form", "host").agg(F.min(F.struct(*key)).alias("at"))
-    spread = by_host.groupBy("form").agg(F.count("host").alias("hosts"), F.min("at").alias("at"))
-    spread = materialise(spread.where(F.col("hosts") >= HOSTS).select("form", "at"), "spread")
+def _empty(lines: DataFrame, key: list[str], forms: DataFrame) -> DataFrame:
+    """(key, ...) of the rows without content, if lines of these forms (form) are none: filler without any sentence, or such lines only."""
+    marked = lines.join(forms.select("form", F.lit(True).alias("idle")), "form", "left").withColumn("idle", F.coalesce("idle", F.lit(False)) | F.col("filler"))
+    rows = marked.groupBy(*key).agg(F.bool_or("filler").alias("filler"), F.bool_or(F.col("sentence") & ~F.col("idle")).alias("told"), F.bool_and("idle").alias("only"))
+    return rows.where("only or filler and not told").select(*key)
+
+
+def _responses(texts: DataFrame, heads: DataFrame, names: DataFrame, lines: DataFrame, key: list[str], records: int) -> DataFrame:
+    """(form): the masked lines of records without content that are responses of servers or templates."""
+    spread = lines.groupBy("form", "host").agg(F.min(F.struct(*key)).alias("at")).groupBy("form").agg(F.count("host").alias("hosts"), F.min("at").alias("at"))
+    spread = materialise(spread.where(F.col("hosts") >= HOSTS).select("form", "at"), "forms")
     # one record of each form gives its text; titles and slugs of all its records tell whether it has to do with them
     sample = texts.join(spread.select(*[F.col(f"at.{k}").alias(k) for k in key], "form"), key).select("form", F.explode(_lines(F.col("_text"))).alias("line"))
     sample = sample.where(F.col("form") == F.xxhash64(_masked(F.col("line")))).groupBy("form").agg(F.min("line").alias("line"))
-    sample = materialise(sample.select("form", terms(F.col("line")).alias("terms")), "forms")
+    sample = materialise(sample.select("form", terms(F.col("line")).alias("terms")), "terms")
     known = terms(F.concat_ws("\n", "_title", F.regexp_extract("_address", SLUG, 1))).alias("known")
-    familiar = heads.select(F.explode(known).alias("term")).groupBy("term").agg(F.count("*").alias("rows")).where(F.col("rows") >= TERM_SHARE * records)
+    familiar = names.select(F.explode(known).alias("term")).groupBy("term").agg(F.count("*").alias("rows")).where(F.col("rows") >= TERM_SHARE * records)
     asked = sample.select("form", F.explode("terms").alias("term"))
     share = asked.join(familiar, "term", "left").groupBy("form").agg(F.avg(F.col("rows").isNotNull().cast("int")).alias("familiar"))
     # records without a title or slug tell nothing
-    held = lines.join(sample, "form").select(*key, "form", "terms").distinct().join(heads, key).select("form", "terms", known).where("size(known) > 0")
+    held = lines.join(sample, "form").select(*key, "form", "terms").distinct().join(heads, key).dropDuplicates([*key, "form"])
+    held = held.select("form", "terms", known).where("size(known) > 0")
     own = held.groupBy("form").agg(F.count("*").alias("n"), F.avg(F.size(F.array_intersect("known", "terms")) / F.greatest(F.size("terms"), F.lit(1))).alias("matched"))
     # reprints have titles alike
     of_titles = held.select("form", F.explode("known").alias("term")).groupBy("form", "term").agg(F.count("*").alias("n"))
@@ -99,26 +108,27 @@ def _responses(texts: DataFrame, heads: DataFrame, lines: DataFrame, key: list[s
     return told.where((F.coalesce("familiar", F.lit(0.0)) <= FAMILIAR) & (F.coalesce("matched", F.lit(0.0)) <= MATCHED) & (F.col("alike") <= ALIKE)).select("form")
 
 
-def residue(df: DataFrame, heads: DataFrame, key: list[str], text: str, host: str, title: str, address: str) -> DataFrame:
-    """Rows of key whose text carries residue, each once; heads gives titles and addresses by key, so that texts are not shuffled.
+def residue(df: DataFrame, heads: Callable[[DataFrame], DataFrame], names: DataFrame, key: list[str], text: str, host: str, title: str, address: str) -> DataFrame:
+    """Rows of key whose text carries residue, each once.
+
+    heads gives the titles and addresses of rows of key, apart from the texts, which are not shuffled; names holds all
+    titles and addresses of the collection, in any rows.
 
     Null, empty and blank texts are no cases; rows that come several times count once; a null host, title or
     address, or a key without a head, only weakens the host evidence. Texts and lines of any length are read whole. A message that
     comes under fewer than HOSTS hosts, or only with titles alike, is not told from content.
     """
     texts = df.where(F.col(text).rlike(r"\S")).select(*key, F.col(text).alias("_text"), F.col(host).alias("_host"))
-    heads = heads.select(*key, F.col(title).alias("_title"), F.col(address).alias("_address"))
+    named = [F.col(title).alias("_title"), F.col(address).alias("_address")]
     # one pass over the texts leaves hashes and flags of lines only
     line = lambda x: F.struct(F.xxhash64(_masked(x)).alias("form"), _is_filler(x).alias("filler"), _is_sentence(x).alias("sentence"))
     flagged = texts.select(*key, F.xxhash64("_host").alias("host"), F.col("_text").rlike(placeholder()).alias("unfilled"), F.transform(_lines(F.col("_text")), line).alias("lines"))
     flagged = materialise(flagged, "residue")
     lines = flagged.select(*key, "host", F.explode("lines").alias("l")).select(*key, "host", "l.*")
-    responses = _responses(texts, heads, lines, key, flagged.count()).withColumn("response", F.lit(True))
-    judged = lines.join(responses, "form", "left").withColumn("response", F.coalesce("response", F.lit(False)))
-    # content: a sentence that is neither; without filler any other line is content as well
-    per_row = judged.groupBy(*key).agg(
-        F.bool_or("filler").alias("filler"), F.bool_or(F.col("sentence") & ~F.col("filler") & ~F.col("response")).alias("told"),
-        F.bool_and(F.col("filler") | F.col("response")).alias("only"),
-    )
-    empty = per_row.where("only or filler and not told").select(*key)
-    return flagged.where("unfilled").select(*key).unionByName(empty).distinct()
+    # only records all of whose content comes under several hosts can be cases; they are few, and what follows looks at them only
+    spread = lines.select("form", "host").distinct().groupBy("form").agg(F.count("host").alias("hosts")).where(F.col("hosts") >= HOSTS)
+    open_ = materialise(_empty(lines, key, materialise(spread.select("form"), "spread")), "open")
+    own = materialise(lines.join(open_, key, "left_semi"), "open-lines")
+    found = heads(open_).select(*key, *named)
+    responses = materialise(_responses(texts.join(open_, key, "left_semi"), found, names.select(*named), own, key, flagged.count()), "responses")
+    return flagged.where("unfilled").select(*key).unionByName(_empty(own, key, responses)).distinct()

@@ -223,7 +223,7 @@ def heads_of(spark, rows):
 
 def found_residue(spark, rows, heads):
     df = spark.createDataFrame(rows, "k bigint, text string, host string, title string")
-    return sorted(r.k for r in residue.residue(df, heads_of(spark, heads), ["k"], "text", "host", "title", "url").collect())
+    return sorted(r.k for r in residue.residue(df, lambda keys: heads_of(spark, heads).join(keys, "k"), heads_of(spark, heads), ["k"], "text", "host", "title", "url").collect())
 
 
 def test_residue_placeholders_and_filler(spark):
