@@ -14,9 +14,9 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     """(node, component): the smallest node connected with each node of edges (a, b).
 
     Large-star and small-star rounds: every node links to the smallest of its neighbours, so stars grow by squares of
-    path lengths and few rounds settle any graph. A hub's links are hashed to many tasks by the other end before
-    the minimum is taken, and each round is a table in the shared folder; only the number of changed edges reaches
-    the driver. Raises if the rounds don't suffice.
+    path lengths and few rounds settle any graph. The minimum of a hub is combined before the shuffle and comes back
+    in a join with one row for it, whose skew adaptive execution splits; each round is a table in the shared folder, and only a
+    count and a sum reach the driver. Raises if the rounds don't suffice.
     """
     links = materialise(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u != v").distinct(), "links")
     before = None
@@ -133,17 +133,28 @@ def semantic_groups(rows: DataFrame, key: str, most: int, most_size: int) -> Dat
     return rows.select(key, "id", "vec", "size").groupBy(key).applyInPandas(split, f"{key} {kind}, part bigint, id bigint")
 
 
+def _unit(vectors: pd.Series, what: str) -> np.ndarray:
+    v = np.stack(vectors.to_numpy()).astype(float)
+    size = np.linalg.norm(v, axis=1)
+    if not np.isfinite(v).all() or not size.all():
+        raise ValueError(f"{what}: vectors must be finite and not zero")
+    return v / size[:, None]
+
+
 def compatible(rows: DataFrame, key: str, least: float, most: int = 8) -> DataFrame:
-    """(key, cluster, id): greedy complete-link clusters of rows (key, id, vec) with the same key; every pair is at least least similar."""
+    """(key, cluster, id): greedy complete-link clusters of rows (key, id, vec) with the same key.
+
+    In the order of their ids, rows join the first cluster of fewer than most members to all of which they are at least least
+    similar. Raises on a zero or not finite vector.
+    """
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
-        v = np.stack(pdf.vec.to_numpy()).astype(float)
-        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        v = _unit(pdf.vec, "compatible")
         clusters: list[list[int]] = []
         for i in range(len(v)):
-            fit = [(-float((v[c] @ v[i]).min()), n) for n, c in enumerate(clusters) if len(c) < most and (v[c] @ v[i]).min() >= least]
-            clusters[min(fit)[1]].append(i) if fit else clusters.append([i])
+            fit = next((c for c in clusters if len(c) < most and (v[c] @ v[i]).min() >= least), None)
+            fit.append(i) if fit is not None else clusters.append([i])
         ids = pdf.id.to_numpy()
         return pd.DataFrame([(pdf[key].iloc[0], int(ids[c[0]]), int(ids[i])) for c in clusters for i in c], columns=[key, "cluster", "id"])
 
@@ -151,6 +162,53 @@ def compatible(rows: DataFrame, key: str, least: float, most: int = 8) -> DataFr
     return rows.select(key, "id", "vec").groupBy(key).applyInPandas(link, f"{key} {kind}, cluster bigint, id bigint")
 
 
+def joined_parts(parts: list[np.ndarray], v: np.ndarray, most: int) -> list[np.ndarray]:
+    """Parts of unit vectors v, the two with the most similar centres put together as long as any two hold at most most members.
+
+    Of equally similar ones the earlier go first; a new part comes last.
+    """
+    parts = [np.sort(p) for p in parts]
+    while len(parts) > 1:
+        centres = np.stack([v[p].mean(axis=0) for p in parts])
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+        size = np.array([len(p) for p in parts])
+        likeness = np.where((size[:, None] + size[None, :] <= most) & np.triu(np.ones((len(parts),) * 2, bool), 1), centres @ centres.T, -np.inf)
+        i, j = divmod(int(likeness.argmax()), len(parts))
+        if likeness[i, j] == -np.inf:
+            break
+        parts = [p for n, p in enumerate(parts) if n not in (i, j)] + [np.sort(np.concatenate([parts[i], parts[j]]))]
+    return parts
+
+
+def overlapping_groups(rows: DataFrame, key: str, most: int, overlap: float) -> DataFrame:
+    """(key, part, id, role) of rows (key, id, vec): disjoint primary groups of similar members, each with context from outside.
+
+    A group holds at most most members, of which the share overlap is kept for context: the rows outside it that are most
+    similar to one of its members, ties by id. Each row is primary once. The rows of a key are one task's; keys should be
+    bounded before. Raises on a zero or not finite vector.
+    """
+    if most < 2 or not 0 <= overlap < 0.5:
+        raise ValueError("most must be at least 2 and overlap in [0, 0.5)")
+    wanted = round(most * overlap)
+    room = max(1, most - wanted)
+
+    def group(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        v, ids = _unit(pdf.vec, "overlapping_groups"), pdf.id.to_numpy()
+        ones = np.ones(len(ids), dtype=int)
+        out = []
+        for n, part in enumerate(sorted(joined_parts(halves(ids, v, ones, room, len(ids)), v, room), key=min)):
+            outside = np.setdiff1d(np.arange(len(ids)), part)
+            take = min(wanted, most - len(part), len(outside))
+            near = (v[outside] @ v[part].T).max(axis=1) if len(outside) else np.empty(0)
+            context = outside[np.lexsort((outside, -near))[:take]]
+            out += [(pdf[key].iloc[0], n, int(ids[i]), role) for role, members in (("primary", part), ("context", context)) for i in members]
+        return pd.DataFrame(out, columns=[key, "part", "id", "role"])
+
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.select(key, "id", "vec").groupBy(key).applyInPandas(group, f"{key} {kind}, part bigint, id bigint, role string")
+
+
 def packed(rows: DataFrame, key: str, least: int, most: int, most_size: int) -> DataFrame:
     """(key, batch, id): consecutive batches of rows (key, id, size), at most most rows and most_size; a short last batch takes from the one before."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -69,7 +69,7 @@ def _(spark, d):
 
 @Q("g02_compatible_names", "G2")
 def _(spark, d):
-    return graphs.compatible(T(spark, d, "embeddings").select("label", F.col("vec_id").alias("id"), F.col("embedding").alias("vec")), "label", 0.3)
+    return graphs.compatible(T(spark, d, "embeddings").select("label", F.col("vec_id").alias("id"), F.col("embedding").alias("vec")), "label", 0.93)
 
 
 @Q("g03_semantic_groups", "G3")
@@ -78,6 +78,12 @@ def _(spark, d):
     return graphs.semantic_groups(rows, "label", 12, 30_000)
 
 
+@Q("g04_overlapping_groups", "G4 G5")
+def _(spark, d):
+    rows = T(spark, d, "embeddings").select("label", F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    return graphs.overlapping_groups(rows, "label", 12, 0.25)
+
+
 @Q("g13_packing", "G13")
 def _(spark, d):
     rows = T(spark, d, "documents").where("source is not null").select("source", F.col("doc_id").alias("id"), F.coalesce("n_chars", F.lit(0)).alias("size"))
@@ -101,28 +107,33 @@ def _(spark, d):
     return merged.groupBy(F.coalesce("component", "track_id").alias("market")).agg(F.count("*").alias("members"), F.min("confidence").alias("confidence"), F.when(F.bool_or(F.col("status") == "watchlist"), "watchlist").otherwise("candidate").alias("status"))
 
 
-BM25 = r"""WITH dg AS (SELECT topic_id AS id, list_transform(range(1, length(label)), lambda i: substr(label, i, 2)) AS grams FROM topic WHERE length(label) >= 2), qg AS (SELECT track_id AS id, list_transform(range(1, length(name)), lambda i: substr(name, i, 2)) AS grams FROM track WHERE length(name) >= 2),
-d AS (SELECT id, list_distinct(grams) AS grams FROM dg), q AS (SELECT id, list_distinct(grams) AS grams FROM qg), t AS (SELECT id AS doc_id, unnest(grams) AS g FROM d), l AS (SELECT id AS doc_id, len(grams) AS len FROM d), st AS (SELECT count(*) AS n, avg(len) AS mean FROM l),
-i AS (SELECT g, mean, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM t, st GROUP BY g, n, mean), a AS (SELECT id AS query_id, g, mean, idf FROM (SELECT id, unnest(grams) AS g FROM q) JOIN i USING (g)), m AS (SELECT query_id, sum(idf) AS mass FROM a GROUP BY query_id),
-h AS (SELECT query_id, t.doc_id, sum(idf * 2.5 / (1 + 1.5 * (0.25 + 0.75 * len / mean))) AS score, sum(idf) AS hit FROM a JOIN t USING (g) JOIN l ON l.doc_id = t.doc_id GROUP BY 1, 2), s AS (SELECT query_id, doc_id, score, hit / mass AS coverage FROM h JOIN m USING (query_id))"""
+BM25 = r"""WITH d AS (SELECT topic_id AS id, list_transform(range(1, length(label)), lambda i: substr(label, i, 2)) || list_transform(range(1, length(label) - 1), lambda i: substr(label, i, 3)) AS grams FROM topic WHERE length(label) >= 2), q AS (SELECT track_id AS id, list_transform(range(1, length(name)), lambda i: substr(name, i, 2)) || list_transform(range(1, length(name) - 1), lambda i: substr(name, i, 3)) AS grams FROM track WHERE length(name) >= 2),
+t AS (SELECT id AS doc_id, g, count(*) AS tf FROM (SELECT id, unnest(grams) AS g FROM d) GROUP BY 1, 2), l AS (SELECT id AS doc_id, len(grams) AS len FROM d), st AS (SELECT count(*) AS n, avg(len) AS mean FROM l),
+i AS (SELECT g, mean, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM t, st GROUP BY g, n, mean), w AS (SELECT doc_id, g, tf, idf, mean FROM t JOIN i USING (g)), m AS (SELECT doc_id, sum(idf) AS mass FROM w GROUP BY doc_id), a AS (SELECT DISTINCT id AS query_id, unnest(grams) AS g FROM q),
+h AS (SELECT query_id, doc_id, sum(idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len / mean))) AS score, sum(idf) AS hit, count(*) FILTER (WHERE idf >= 1.5) AS matched_rare FROM a JOIN w USING (g) JOIN l USING (doc_id) GROUP BY 1, 2), s AS (SELECT query_id, doc_id, score, hit / mass AS coverage, matched_rare FROM h JOIN m USING (doc_id))"""
 
 
-def _bm25(spark, d) -> DataFrame:
-    docs = T(spark, d, "topic").where("length(label) >= 2").select(F.col("topic_id").alias("id"), X.grams(F.col("label"), 2).alias("grams"))
-    asked = T(spark, d, "track").where("length(name) >= 2").select(F.col("track_id").alias("id"), X.grams(F.col("name"), 2).alias("grams"))
-    return retrieval.bm25(docs, asked)
+def _bm25(spark, d) -> tuple[DataFrame, int]:
+    """Scores of the pairs of tracks and topics with a gram in common, and the number of all pairs."""
+    docs = T(spark, d, "topic").where("length(label) >= 2").select(F.col("topic_id").alias("id"), X.all_grams(F.col("label")).alias("grams"))
+    asked = T(spark, d, "track").where("length(name) >= 2").select(F.col("track_id").alias("id"), X.all_grams(F.col("name")).alias("grams"))
+    return retrieval.bm25(docs, asked), docs.count() * asked.count()
 
 
-@Q("g15_bm25_pairs", "F20", BM25 + " SELECT query_id, doc_id, round(score, 4) AS score, round(coverage, 4) AS coverage FROM s")
+@Q("g15_bm25_pairs", "G15 F20", BM25 + " SELECT query_id, doc_id, round(score, 4) AS score, round(coverage, 4) AS coverage, matched_rare FROM s")
 def _(spark, d):
-    return _bm25(spark, d).select("query_id", "doc_id", F.round("score", 4).alias("score"), F.round("coverage", 4).alias("coverage"))
+    return _bm25(spark, d)[0].select("query_id", "doc_id", F.round("score", 4).alias("score"), F.round("coverage", 4).alias("coverage"), "matched_rare")
 
 
-@Q("g16_hybrid_topk", "F25 F26 L4", BM25 + """, k AS (SELECT quantile_cont(score, 0.25) l25, quantile_cont(score, 0.5) l50, quantile_cont(score, 0.75) l75, quantile_cont(coverage, 0.25) s25, quantile_cont(coverage, 0.5) s50, quantile_cont(coverage, 0.75) s75 FROM s),
-f AS (SELECT query_id, doc_id, round(0.6 / (1 + exp(-greatest(-12, least(12, (coverage - s50) / greatest((s75 - s25) / 1.349, 1e-8))))) + 0.4 / (1 + exp(-greatest(-12, least(12, (score - l50) / greatest((l75 - l25) / 1.349, 1e-8))))), 3) AS hybrid FROM s, k) SELECT query_id, count(*) AS pairs, max(hybrid) AS best FROM f GROUP BY query_id""")
+@Q("g16_hybrid_topk", "F25 F26 L4", BM25 + """, z AS (SELECT coalesce(score, 0) AS score, coalesce(coverage, 0) AS coverage FROM (SELECT q.id AS query_id, d.id AS doc_id FROM q, d) LEFT JOIN s USING (query_id, doc_id)),
+k AS (SELECT quantile_cont(score, 0.25) l25, quantile_cont(score, 0.5) l50, quantile_cont(score, 0.75) l75, quantile_cont(coverage, 0.25) s25, quantile_cont(coverage, 0.5) s50, quantile_cont(coverage, 0.75) s75 FROM z),
+f AS (SELECT query_id, doc_id, round(0.6 / (1 + exp(-greatest(-12, least(12, (coverage - s50) / greatest((s75 - s25) / 1.349, 1e-8))))) + 0.4 / (1 + exp(-greatest(-12, least(12, (score - l50) / greatest((l75 - l25) / 1.349, 1e-8))))), 3) AS hybrid FROM s, k),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY hybrid DESC, doc_id) AS rank FROM f) SELECT query_id, doc_id, hybrid, rank FROM r WHERE rank <= 5""")
 def _(spark, d):
-    f = retrieval.fused(_bm25(spark, d), "score", "coverage", 0.6)
-    return f.groupBy("query_id").agg(F.count("*").alias("pairs"), F.max(F.round("hybrid", 3)).alias("best"))
+    pairs, every = _bm25(spark, d)
+    f = retrieval.fused(pairs, "score", "coverage", 0.6, every).withColumn("hybrid", F.round("hybrid", 3))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("hybrid"), "doc_id")).cast("bigint")
+    return f.select("query_id", "doc_id", "hybrid", rank.alias("rank")).where("rank <= 5")
 
 
 @Q("j13_verbatim_evidence", "J13 F9 F10", r"""SELECT DISTINCT p.page_id AS quote_id, CASE WHEN instr(p.extracted_text, s.snippet) > 0 AND s.snippet <> '' THEN 'exact' WHEN contains(lower(regexp_replace(regexp_replace(p.extracted_text, '\^?\[\d+\]\^?', '', 'g'), '[^\p{L}\p{N}]', '', 'g')), lower(regexp_replace(regexp_replace(s.snippet, '\^?\[\d+\]\^?', '', 'g'), '[^\p{L}\p{N}]', '', 'g'))) AND regexp_matches(regexp_replace(s.snippet, '\^?\[\d+\]\^?', '', 'g'), '[\p{L}\p{N}]') THEN 'normalised' END AS form

@@ -11,8 +11,7 @@ from ..sources.tables import table as T
 from .registry import CORE
 
 Q = CORE.add
-GENERIC = ["系统", "装备", "应用", "配套", "服务", "制造", "租赁"]
-IN_GENERIC = ", ".join(f"'{g}'" for g in GENERIC)
+IN_GENERIC = ", ".join(f"'{g}'" for g in X.GENERIC_TERMS)
 
 
 @Q("s13_numbered_sources", "S13 W2", """SELECT task_id, url, 'ref_' || row_number() OVER (PARTITION BY task_id ORDER BY first_id) AS refer FROM (SELECT task_id, url, min(result_id) AS first_id FROM search_result WHERE task_id IS NOT NULL AND url IS NOT NULL GROUP BY 1, 2)""")
@@ -40,8 +39,8 @@ def _(spark, d):
     return a.join(b, "result_id").select("result_id", F.col("h").eqNullSafe(F.col("g")).alias("valid"))
 
 
-@Q("p12_event_support", "P12 F11", r"""WITH e AS (SELECT DISTINCT s.result_id, s.title, s.snippet, lower(regexp_replace(s.snippet, '[^\p{L}\p{N}]', '', 'g')) AS q FROM search_result s WHERE s.title IS NOT NULL AND s.snippet IS NOT NULL)
-SELECT result_id, length(q) >= 20 AND q <> lower(regexp_replace(title, '[^\p{L}\p{N}]', '', 'g')) AND list_has_all(regexp_extract_all(snippet, '\d+(?:\.\d+)?(?:%|万元|亿元|百万元|台|家|小时|million)'), regexp_extract_all(title, '\d+(?:\.\d+)?(?:%|万元|亿元|百万元|台|家|小时|million)')) AS supported FROM e""")
+@Q("p12_event_support", "P12 F11", rf"""WITH e AS (SELECT DISTINCT s.result_id, s.title, s.snippet, lower(regexp_replace(s.snippet, '[^\p{{L}}\p{{N}}]', '', 'g')) AS q FROM search_result s WHERE s.title IS NOT NULL AND s.snippet IS NOT NULL)
+SELECT result_id, length(q) >= 20 AND q <> lower(regexp_replace(title, '[^\p{{L}}\p{{N}}]', '', 'g')) AND list_has_all(regexp_extract_all(snippet, '{X.NUMBER}'), regexp_extract_all(title, '{X.NUMBER}')) AS supported FROM e""")
 def _(spark, d):
     s = T(spark, d, "search_result").where("title is not null and snippet is not null").select("result_id", "title", "snippet").distinct()
     form = lambda c: F.lower(F.regexp_replace(c, r"[^\p{L}\p{N}]", ""))
@@ -76,10 +75,10 @@ def _(spark, d):
     return T(spark, d, "topic").where("status is distinct from 'active'").join(used, "topic_id", "left_anti").select("topic_id")
 
 
-@Q("j14_alias_prefix", "J14 F14", """SELECT s.region AS region, count(*) AS tasks FROM (SELECT DISTINCT task_id, region, query FROM search_task WHERE region IS NOT NULL) s WHERE contains(s.query, regexp_replace(s.region, '(?:省|市|区|县|自治区)$', '')) GROUP BY s.region""")
+@Q("j14_alias_prefix", "J14 F14", f"""WITH t AS (SELECT DISTINCT task_id, region, query FROM search_task WHERE region IS NOT NULL) SELECT region, count(*) AS tasks FROM t WHERE CASE WHEN region = '{X.COUNTRY}' THEN """ + " OR ".join(f"contains(query, '{w}')" for w in X.NATIONAL_WORDS) + f""" ELSE contains(query, regexp_replace(region, '(?:{'|'.join(X.REGION_ENDINGS)})$', '')) END GROUP BY region""")
 def _(spark, d):
     s = T(spark, d, "search_task").where("region is not null").select("task_id", "region", "query").distinct()
-    return s.where(F.contains(F.col("query"), X.region_alias(F.col("region")))).groupBy("region").agg(F.count("*").alias("tasks"))
+    return s.where(X.is_regional(F.col("query"), F.col("region"))).groupBy("region").agg(F.count("*").alias("tasks"))
 
 
 @Q("f15_date_scrub", "F15", f"""SELECT DISTINCT task_id, CASE WHEN region IS NULL OR contains(q, region) THEN q ELSE region || ' ' || q END AS scoped FROM (SELECT task_id, region, regexp_replace(regexp_replace(regexp_replace(query, '\\d{{4}}年(?:\\d{{1,2}}月)?(?:\\d{{1,2}}日)?|\\d{{4}}-\\d{{1,2}}(?:-\\d{{1,2}})?', ' ', 'g'), '{X.BLANKS}+', ' ', 'g'), '{X.EDGES}', '', 'g') AS q FROM search_task)""")
@@ -121,12 +120,13 @@ def _(spark, d):
     return T(spark, d, "search_result").where(F.col("publish_date").rlike(r"^\d{4}-\d{2}-\d{2}")).select("result_id", F.substring("publish_date", 1, 10).try_cast("date").alias("published")).distinct()
 
 
-@Q("f37_support_anchor", "F37", f"""WITH p AS (SELECT k.track_id, t.topic_id, t.label, k.name FROM (SELECT track_id, name, unnest(topic_ids) AS m FROM track) k JOIN topic t ON t.topic_id = k.m), c AS (SELECT *, unnest(range(0, length(label) - 1)) AS cut FROM p), s AS (SELECT *, unnest(range(1, cut + 2)) AS i FROM c), f AS (SELECT *, substr(label, i, length(label) - cut) AS part FROM s)
-SELECT track_id, topic_id, arg_min(part, cut * 1000 + i) AS anchor FROM f WHERE contains(name, part) AND part NOT IN ({IN_GENERIC}) GROUP BY 1, 2""")
+@Q("f37_support_anchor", "F37", f"""WITH p AS (SELECT k.track_id, t.topic_id, lower(t.label) AS label, lower(k.name) AS name, coalesce(lower(k.offering_family), '') AS family FROM (SELECT track_id, name, offering_family, unnest(topic_ids) AS m FROM track) k JOIN topic t ON t.topic_id = k.m), c AS (SELECT *, unnest(range(0, length(label) - 1)) AS cut FROM p WHERE label NOT IN ({IN_GENERIC})), s AS (SELECT *, unnest(range(1, cut + 2)) AS i FROM c), f AS (SELECT *, substr(label, i, length(label) - cut) AS part FROM s)
+SELECT track_id, topic_id, arg_min(part, cut * 1000 + i) AS anchor FROM f WHERE (contains(name, part) OR contains(family, part)) AND part NOT IN ({IN_GENERIC}) GROUP BY 1, 2""")
 def _(spark, d):
-    k = T(spark, d, "track").select("track_id", "name", F.explode("topic_ids").alias("topic_id"))
+    k = T(spark, d, "track").select("track_id", "name", "offering_family", F.explode("topic_ids").alias("topic_id"))
     j = k.join(T(spark, d, "topic").select("topic_id", "label"), "topic_id")
-    return j.select("track_id", "topic_id", X.anchor(F.col("label"), F.col("name"), GENERIC).alias("anchor")).where("anchor is not null").distinct()
+    found = X.anchor(F.col("label"), [F.col("name"), F.col("offering_family")], X.GENERIC_TERMS)
+    return j.select("track_id", "topic_id", found.alias("anchor")).where("anchor is not null").distinct()
 
 
 @Q("f38_linkage", "F38", r"""SELECT DISTINCT result_id, regexp_matches(snippet, '(?:采购|交付|中标)[^。；\n]{0,60}\Q逆变器\E|\Q逆变器\E[^。；\n]{0,60}(?:采购|交付|中标)') AS linked FROM search_result WHERE snippet IS NOT NULL""")
@@ -134,10 +134,22 @@ def _(spark, d):
     return T(spark, d, "search_result").where("snippet is not null").select("result_id", X.linked(F.col("snippet"), "逆变器", ["采购", "交付", "中标"]).alias("linked")).distinct()
 
 
-@Q("w07_representative_events", "W7 W8")
+@Q("w07_representative_events", "W7", """WITH r AS (SELECT task_id, result_id, any_value(source_class) AS kind, any_value(title) AS title FROM search_result WHERE task_id IS NOT NULL GROUP BY task_id, result_id),
+f AS (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY kind NULLS LAST, result_id) AS n FROM r), one AS (SELECT task_id, result_id, kind, title FROM f WHERE n = 1),
+o AS (SELECT r.*, r.kind IS DISTINCT FROM one.kind AS fresh FROM r JOIN one USING (task_id) WHERE r.title IS DISTINCT FROM one.title),
+two AS (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY NOT fresh, CASE WHEN fresh THEN kind IS NULL END, CASE WHEN fresh THEN kind END NULLS LAST, result_id) AS n FROM o)
+SELECT task_id, result_id, 1 AS pick FROM one UNION ALL SELECT task_id, result_id, 2 FROM two WHERE n = 1""")
 def _(spark, d):
-    r = T(spark, d, "search_result").where("task_id is not null").dropDuplicates(["result_id"]).select("task_id", "result_id", "source_class", X.host(F.col("url")).alias("host"))
-    return evidence.representatives(r, "task_id", "source_class", "host", ["result_id"])
+    r = T(spark, d, "search_result").where("task_id is not null").select("task_id", "result_id", F.col("source_class").alias("kind"), "title").dropDuplicates(["task_id", "result_id"])
+    return evidence.representatives(r, "task_id", "kind", "title", "result_id").select("task_id", "result_id", "pick")
+
+
+@Q("f10_evidence_offsets", "F10 J13")
+def _(spark, d):
+    """Where shortened and marked quotes of snippets stand in the snippets."""
+    texts = T(spark, d, "search_result").where("length(snippet) >= 60").select("result_id", F.col("snippet").alias("text")).dropDuplicates(["result_id"])
+    quote = F.concat(F.substring("text", 1, 20), F.lit("^[1]^"), F.substring("text", 21, 5), F.lit(" … "), F.upper(F.substring("text", 35, 20)))
+    return evidence.located(texts, texts.select(F.col("result_id").alias("quote_id"), "result_id", quote.alias("quote")), "result_id")
 
 
 @Q("g17_lineage", "G17", """SELECT p.plan_id, count(DISTINCT t.task_id) AS tasks, count(DISTINCT s.result_id) AS results, count(DISTINCT r.page_id) AS pages FROM research_plan p LEFT JOIN search_task t ON t.plan_id = p.plan_id LEFT JOIN search_result s ON s.task_id = t.task_id LEFT JOIN remote_page_result r ON r.result_id = s.result_id GROUP BY p.plan_id""")
@@ -192,7 +204,7 @@ def _(spark, d):
     return r.groupBy("task_id").agg(F.array_join(F.transform(items, lambda x: x["refer"]), "|").alias("refs"))
 
 
-@Q("c01_track_show", "P1 K16", """SELECT k.track_id, k.name, k.status, cast(len(k.topic_ids) AS BIGINT) AS topics, string_agg(t.label, '|' ORDER BY t.label) AS labels FROM track k LEFT JOIN (SELECT track_id, unnest(topic_ids) AS m FROM track) u ON u.track_id = k.track_id LEFT JOIN topic t ON t.topic_id = u.m GROUP BY ALL""")
+@Q("c01_track_show", "P1", """SELECT k.track_id, k.name, k.status, cast(len(k.topic_ids) AS BIGINT) AS topics, string_agg(t.label, '|' ORDER BY t.label) AS labels FROM track k LEFT JOIN (SELECT track_id, unnest(topic_ids) AS m FROM track) u ON u.track_id = k.track_id LEFT JOIN topic t ON t.topic_id = u.m GROUP BY ALL""")
 def _(spark, d):
     k = T(spark, d, "track").select("track_id", "name", "status", F.size("topic_ids").cast("bigint").alias("topics"), F.explode_outer("topic_ids").alias("topic_id"))
     j = k.join(T(spark, d, "topic").select("topic_id", "label"), "topic_id", "left")

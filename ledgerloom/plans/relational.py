@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import relational as R
+from ..operators import retrieval
 from ..sources.tables import table as T
 from .registry import CORE
 
@@ -23,7 +24,7 @@ def _(spark, d):
     return T(spark, d, "customer").where("c_custkey = 42").select("c_custkey", "c_name")
 
 
-@Q("s06_json_props", "S6 F35", "SELECT event_id, json_type(props) IS NOT NULL AS has_props, length(props) AS n FROM events")
+@Q("s06_json_props", "S6", "SELECT event_id, json_type(props) IS NOT NULL AS has_props, length(props) AS n FROM events")
 def _(spark, d):
     e = T(spark, d, "events")
     return e.select("event_id", F.expr("try_parse_json(props)").isNotNull().alias("has_props"), F.length("props").cast("bigint").alias("n"))
@@ -66,13 +67,13 @@ def _(spark, d):
     return p.select("plan_id", s.alias("status"))
 
 
-@Q("k11_export_join", "K11 K14 S10", "SELECT s.task_id, s.status, p.status AS plan_status, array_to_string(p.regions, ';') AS regions FROM search_task s LEFT JOIN research_plan p ON p.plan_id = s.plan_id")
+@Q("k11_export_join", "K14 S10", "SELECT s.task_id, s.status, p.status AS plan_status, array_to_string(p.regions, ';') AS regions FROM search_task s LEFT JOIN research_plan p ON p.plan_id = s.plan_id")
 def _(spark, d):
     p = T(spark, d, "research_plan").select("plan_id", F.col("status").alias("plan_status"), F.array_join("regions", ";").alias("regions"))
     return T(spark, d, "search_task").join(p, "plan_id", "left").select("task_id", "status", "plan_status", "regions")
 
 
-@Q("k14_union_row_types", "K14 K15", "SELECT 'direction' AS row_type, label AS name FROM topic WHERE status = 'active' UNION ALL SELECT 'discarded', label FROM topic WHERE status IS DISTINCT FROM 'active'")
+@Q("k14_union_row_types", "K14", "SELECT 'direction' AS row_type, label AS name FROM topic WHERE status = 'active' UNION ALL SELECT 'discarded', label FROM topic WHERE status IS DISTINCT FROM 'active'")
 def _(spark, d):
     t = T(spark, d, "topic")
     a = t.where("status = 'active'").select(F.lit("direction").alias("row_type"), F.col("label").alias("name"))
@@ -102,7 +103,7 @@ def _(spark, d):
     return c.join(o.where("o_orderstatus = 'O'"), "c_custkey", "left_semi").join(o.where("o_orderstatus = 'F'"), "c_custkey", "left_anti").select("c_custkey")
 
 
-@Q("p08_review_overrides", "P8 P10", """SELECT DISTINCT result_id, CASE WHEN regexp_matches(url, '/search(list)?([/?]|$)|[?&](q|query|searchword|keyword)=') THEN 'source_entry' ELSE url_type END AS url_type,
+@Q("p08_review_overrides", "P8", """SELECT DISTINCT result_id, CASE WHEN regexp_matches(url, '/search(list)?([/?]|$)|[?&](q|query|searchword|keyword)=') THEN 'source_entry' ELSE url_type END AS url_type,
 CASE WHEN regexp_matches(url, '/search(list)?([/?]|$)|[?&](q|query|searchword|keyword)=') OR try_cast(substr(publish_date, 1, 10) AS DATE) < DATE '2023-01-01' THEN 'drop' ELSE decision END AS decision FROM search_result WHERE regexp_full_match(substr(publish_date, 1, 10), '\\d{4}-\\d{2}-\\d{2}')""")
 def _(spark, d):
     r = T(spark, d, "search_result").where(F.substring("publish_date", 1, 10).rlike(r"^\d{4}-\d{2}-\d{2}$"))
@@ -152,13 +153,13 @@ def _(spark, d):
     return T(spark, d, "track").select("track_id").join(ignored, "track_id", "left").select("track_id", F.coalesce("count", F.lit(0)).alias("ignored"))
 
 
-@Q("p19_batch_rules", "P18 P19", """SELECT plan_id, count(*) AS tasks, count(DISTINCT region) AS regions, bool_or(status = 'completed') AS any_done, count(*) BETWEEN 4 AND 40 AS in_limits FROM search_task GROUP BY plan_id""")
+@Q("p19_batch_rules", "P19", """SELECT plan_id, count(*) AS tasks, count(DISTINCT region) AS regions, bool_or(status = 'completed') AS any_done, count(*) BETWEEN 4 AND 40 AS in_limits FROM search_task GROUP BY plan_id""")
 def _(spark, d):
     n = F.count("*")
     return T(spark, d, "search_task").groupBy("plan_id").agg(n.alias("tasks"), F.count_distinct("region").alias("regions"), F.bool_or(F.col("status") == "completed").alias("any_done"), ((n >= 4) & (n <= 40)).alias("in_limits"))
 
 
-@Q("p22_supplement_targets", "P22 L5 L7", """SELECT region, count(*) AS tasks, count(DISTINCT completion_reason) AS reasons FROM search_task WHERE region IS NOT NULL GROUP BY region HAVING count(completion_reason) > 0 ORDER BY tasks, reasons DESC, region LIMIT 12""")
+@Q("p22_supplement_targets", "P22", """SELECT region, count(*) AS tasks, count(DISTINCT completion_reason) AS reasons FROM search_task WHERE region IS NOT NULL GROUP BY region HAVING count(completion_reason) > 0 ORDER BY tasks, reasons DESC, region LIMIT 12""")
 def _(spark, d):
     g = T(spark, d, "search_task").where("region is not null").groupBy("region").agg(F.count("*").alias("tasks"), F.count_distinct("completion_reason").alias("reasons"))
     return g.where("reasons > 0").orderBy("tasks", F.desc("reasons"), "region").limit(12)
@@ -301,7 +302,7 @@ def _(spark, d):
     return T(spark, d, "search_task").groupBy(F.coalesce("region", F.lit("unmapped")).alias("region")).agg(F.count_distinct("task_id").alias("tasks"), F.count_distinct("plan_id").alias("plans"))
 
 
-@Q("a20_dashboard_metrics", "A20 F27 K9", """SELECT count(*) AS tracks, count(*) FILTER (WHERE status = 'candidate') AS candidates, round(avg(confidence), 6) AS confidence, count(*) FILTER (WHERE len(topic_ids) >= 3) AS hot FROM track""")
+@Q("a20_dashboard_metrics", "A20", """SELECT count(*) AS tracks, count(*) FILTER (WHERE status = 'candidate') AS candidates, round(avg(confidence), 6) AS confidence, count(*) FILTER (WHERE len(topic_ids) >= 3) AS hot FROM track""")
 def _(spark, d):
     return T(spark, d, "track").agg(F.count("*").alias("tracks"), F.count_if(F.col("status") == "candidate").alias("candidates"), F.round(F.avg("confidence"), 6).alias("confidence"), F.count_if(F.size("topic_ids") >= 3).alias("hot"))
 
@@ -373,8 +374,12 @@ def _(spark, d):
     return e.select("a", "b").subtract(e.where("same").select("a", "b"))
 
 
-@Q("f01_canonical_url", "F1 F2", """WITH u AS (SELECT DISTINCT url FROM search_result WHERE url IS NOT NULL), p AS (SELECT url, lower(regexp_extract(url, '^(https?)://', 1)) AS s, lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS h, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS path, regexp_extract(url, '\\?([^#]*)', 1) AS q FROM u)
-SELECT url, s || '://' || h || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN k = '' THEN '' ELSE '?' || k END AS canonical FROM (SELECT *, array_to_string(list_sort(list_filter(string_split(q, '&'), lambda x: x <> '' AND NOT starts_with(x, 'utm_') AND split_part(x, '=', 1) NOT IN ('gclid','fbclid','spm','from','source','ref','share','timestamp'))), '&') AS k FROM p)""")
+ENCODED = "replace(url_encode(%s), '%%20', '+')"
+
+
+@Q("f01_canonical_url", "F1", r"""WITH u AS (SELECT DISTINCT url FROM search_result WHERE url IS NOT NULL), p AS (SELECT url, lower(regexp_extract(url, '^(https?)://', 1)) AS s, lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS h, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS path, list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda x: x <> '') AS q FROM u),
+k AS (SELECT *, list_sort(list_filter(list_transform(q, lambda x: {'k': url_decode(replace(split_part(x, '=', 1), '+', ' ')), 'v': url_decode(replace(regexp_replace(x, '^[^=]*=?', ''), '+', ' '))}), lambda x: NOT starts_with(lower(x.k), 'utm_') AND lower(x.k) NOT IN ('""" + "', '".join(X.TRACKING) + """'))) AS l FROM p)
+SELECT url, s || '://' || h || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN len(l) = 0 THEN '' ELSE '?' || array_to_string(list_transform(l, lambda x: """ + ENCODED % "x.k" + " || '=' || " + ENCODED % "x.v" + """), '&') END AS canonical FROM k""")
 def _(spark, d):
     return T(spark, d, "search_result").select("url").where("url is not null").distinct().select("url", X.canonical_url(F.col("url")).alias("canonical"))
 
@@ -387,9 +392,15 @@ def _(spark, d):
     return T(spark, d, "documents").where("text is not null").select("doc_id", F.md5(X.clean_lines(F.col("text"))).alias("cleaned"))
 
 
-@Q("f08_quality_gate", "F8 P11", f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, length({E % "coalesce(text, '')"}) AS n FROM documents) SELECT doc_id, CASE WHEN n = 0 THEN 'empty_body' WHEN """ + " OR ".join(f"contains(lower(t), '{m}')" for m in X.BLOCK_MARKERS) + f""" THEN 'blocked' WHEN n < 200 THEN 'short_body' WHEN n > 1200 AND len(list_filter(string_split(t, chr(10)), lambda x: length({E % "x"}) >= 30)) = 0 THEN 'fragmented' ELSE 'ok' END AS reason FROM t""")
+FLAT = f"regexp_replace(regexp_replace(coalesce(text, ''), '{X.WIDE}+', ' ', 'g'), '{X.EDGES}', '', 'g')"
+
+
+@Q("f08_quality_gate", "F8 P11", f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, {FLAT} AS f FROM documents), r AS (SELECT doc_id, CASE WHEN f = '' THEN 'empty_body' WHEN """ + " OR ".join(f"contains(lower(f), '{m}')" for m in X.BLOCK_MARKERS) + f""" THEN 'access_or_javascript_placeholder' WHEN length(f) < 200 THEN 'body_below_minimum_length'
+WHEN length(f) > 1200 AND len(list_filter(regexp_split_to_array(t, '{X.LINE_ENDS}'), lambda x: length({E % "x"}) >= 30)) = 0 THEN 'no_substantive_paragraphs' ELSE 'ok' END AS reason FROM t)
+SELECT doc_id, reason, CASE WHEN reason = 'ok' THEN 'usable' ELSE 'remote_reader_required' END AS status, CASE WHEN reason = 'ok' THEN 'usable' WHEN reason IN ('empty_body', 'body_below_minimum_length') THEN 'ocr_required' ELSE 'remote_reader_required' END AS as_scan FROM r""")
 def _(spark, d):
-    return T(spark, d, "documents").select("doc_id", X.quality_gate(F.col("text"), 200)[1].alias("reason"))
+    status, reason = X.quality_gate(F.col("text"), 200)
+    return T(spark, d, "documents").select("doc_id", reason.alias("reason"), status.alias("status"), X.quality_gate(F.col("text"), 200, True)[0].alias("as_scan"))
 
 
 @Q("f09_evidence_form", "F9", r"""SELECT DISTINCT result_id, md5(lower(regexp_replace(regexp_replace(snippet, '\^?\[\d+\]\^?', '', 'g'), '[^\p{L}\p{N}]', '', 'g'))) AS form FROM search_result WHERE snippet IS NOT NULL""")
@@ -397,9 +408,9 @@ def _(spark, d):
     return T(spark, d, "search_result").where("snippet is not null").select("result_id", F.md5(X.evidence_form(F.col("snippet"))).alias("form")).distinct()
 
 
-@Q("f11_material_numbers", "F11", r"""SELECT doc_id, cast(len(list_distinct(regexp_extract_all(text, '\d+(?:\.\d+)?(?:%|万元|亿元|百万元|台|家|小时|million)'))) AS BIGINT) AS numbers FROM documents WHERE text IS NOT NULL""")
+@Q("f11_material_numbers", "F11", f"""SELECT doc_id, array_to_string(list_distinct_in_order, '|') AS numbers FROM (SELECT doc_id, list_filter(list_transform(range(1, len(m) + 1), lambda i: CASE WHEN list_position(m, m[i]) = i THEN m[i] END), lambda x: x IS NOT NULL) AS list_distinct_in_order FROM (SELECT doc_id, regexp_extract_all(text, '{X.NUMBER}') AS m FROM documents WHERE text IS NOT NULL))""")
 def _(spark, d):
-    return T(spark, d, "documents").where("text is not null").select("doc_id", F.size(X.material_numbers(F.col("text"))).cast("bigint").alias("numbers"))
+    return T(spark, d, "documents").where("text is not null").select("doc_id", F.array_join(X.material_numbers(F.col("text")), "|").alias("numbers"))
 
 
 @Q("f13_clip_compact", "F13", """SELECT doc_id, md5(CASE WHEN length(text) <= 200 THEN text ELSE rtrim(substr(text, 1, 144)) || '…' || substr(text, length(text) - 55 + 1) END) AS clipped FROM documents WHERE text IS NOT NULL""")
@@ -407,18 +418,35 @@ def _(spark, d):
     return T(spark, d, "documents").where("text is not null").select("doc_id", F.md5(X.clipped(F.col("text"), 200)).alias("clipped"))
 
 
-@Q("f16_expand_scope", "F16", """SELECT plan_id, array_to_string(list_distinct_ordered, '|') AS scopes FROM (SELECT plan_id, list_filter(list_transform(range(1, len(industry_scopes) + 1), lambda i: CASE WHEN list_position(industry_scopes, industry_scopes[i]) = i THEN industry_scopes[i] END), lambda x: x IS NOT NULL) AS list_distinct_ordered FROM research_plan)""")
+@Q("f16_expand_scope", "F16", f"""WITH r AS (SELECT plan_id, CASE WHEN list_contains(regions, '{X.COUNTRY}') OR len(regions) = 0 THEN ['{X.COUNTRY}', '""" + "', '".join(X.REGIONS) + """'] || regions ELSE regions END AS m FROM research_plan)
+SELECT plan_id, array_to_string(list_filter(list_transform(range(1, len(m) + 1), lambda i: CASE WHEN list_position(m, m[i]) = i THEN m[i] END), lambda x: x IS NOT NULL), '|') AS scope FROM r""")
+def _(spark, d):
+    # a plan without regions is one for the whole country
+    regions = F.when(F.size("regions") == 0, F.array(F.lit(X.COUNTRY))).otherwise(F.col("regions"))
+    return T(spark, d, "research_plan").select("plan_id", F.array_join(X.expanded_scope(regions), "|").alias("scope"))
+
+
+@Q("f22_tf_idf", "F22", r"""WITH w AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents), t AS (SELECT id, term, count(*) AS tf FROM w GROUP BY 1, 2), n AS (SELECT count(DISTINCT id) AS n FROM t), f AS (SELECT term, count(*) AS df FROM t GROUP BY 1)
+SELECT id AS doc_id, term, round((1 + ln(tf)) * ln((n + 1) / (df + 1)), 6) AS weight FROM t JOIN f USING (term), n""")
+def _(spark, d):
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))
+    w = retrieval.tf_idf(T(spark, d, "documents").select(F.col("doc_id").alias("id"), words.alias("term")))
+    return w.select(F.col("id").alias("doc_id"), "term", F.round("weight", 6).alias("weight"))
+
+
+@Q("f35_json_fallback", "F35", r"""WITH a AS (SELECT event_id, 'The answer: ' || props || ' - end' AS noisy FROM events WHERE props IS NOT NULL) SELECT event_id, CASE WHEN json_valid(regexp_extract(noisy, '(?s)(\{.*\})', 1)) THEN regexp_extract(noisy, '(?s)(\{.*\})', 1) END AS answer FROM a""")
 def _(spark, d):
-    return T(spark, d, "research_plan").select("plan_id", F.array_join(F.array_distinct("industry_scopes"), "|").alias("scopes"))
+    noisy = F.concat(F.lit("The answer: "), "props", F.lit(" - end"))
+    return T(spark, d, "events").where("props is not null").select("event_id", X.json_object(noisy).alias("answer"))
 
 
-@Q("f18_status_normalise", "F18 F19", """SELECT c_custkey, trim(replace(c_name, '#', ' ')) AS name, CASE WHEN c_acctbal < 0 THEN 'excluded' WHEN c_acctbal < 1000 THEN 'review' ELSE 'eligible' END AS eligibility FROM customer""")
+@Q("f18_company_forms", "F18", f"""SELECT result_id, lower(regexp_replace(regexp_replace(coalesce(media, ''), '{X.WIDE}+', '', 'g'), '{X.NAME_SIGNS}', '', 'g')) AS form, coalesce(""" + " + ".join(f"contains(snippet, '{p}')::INT" for p in X.REGISTER_PHRASES) + """ >= 3, false) AS boilerplate FROM (SELECT DISTINCT result_id, media, snippet FROM search_result)""")
 def _(spark, d):
-    e = F.when(F.col("c_acctbal") < 0, "excluded").when(F.col("c_acctbal") < 1000, "review").otherwise("eligible")
-    return T(spark, d, "customer").select("c_custkey", F.trim(F.replace(F.col("c_name"), F.lit("#"), F.lit(" "))).alias("name"), e.alias("eligibility"))
+    r = T(spark, d, "search_result").select("result_id", "media", "snippet").distinct()
+    return r.select("result_id", X.company_form(F.col("media")).alias("form"), X.is_register_profile(F.col("snippet")).alias("boilerplate"))
 
 
-@Q("f23_weighted_terms", "F22 F23 A15", """WITH t AS (SELECT p_partkey, unnest(string_split(lower(p_name), ' ')) AS term FROM part), df AS (SELECT term, count(DISTINCT p_partkey) AS df FROM t GROUP BY term), n AS (SELECT count(*) AS n FROM part) SELECT t.p_partkey, t.term, round((ln((n + 1.0) / (df + 1)) + 1) * 6, 4) AS weight FROM (SELECT DISTINCT * FROM t) t JOIN df USING (term), n""")
+@Q("f23_weighted_terms", "F23 A15", """WITH t AS (SELECT p_partkey, unnest(string_split(lower(p_name), ' ')) AS term FROM part), df AS (SELECT term, count(DISTINCT p_partkey) AS df FROM t GROUP BY term), n AS (SELECT count(*) AS n FROM part) SELECT t.p_partkey, t.term, round((ln((n + 1.0) / (df + 1)) + 1) * 6, 4) AS weight FROM (SELECT DISTINCT * FROM t) t JOIN df USING (term), n""")
 def _(spark, d):
     p = T(spark, d, "part")
     t = p.select("p_partkey", F.explode(F.split(F.lower("p_name"), " ")).alias("term")).distinct()
@@ -459,7 +487,7 @@ def _(spark, d):
     return u.join(T(spark, d, "topic").select("topic_id", "label"), "topic_id", "left").select("track_id", "topic_id", F.col("label").isNotNull().alias("known"))
 
 
-@Q("t03_lease_expiry", "T2 T3 T4", """SELECT DISTINCT task_id, CASE WHEN status = 'running' AND (started_at IS NULL OR started_at < TIMESTAMP '2026-01-01') THEN CASE WHEN completion_reason IS NULL THEN 'failed_retryable' ELSE 'failed_terminal' END ELSE status END AS status FROM search_task""")
+@Q("t03_lease_expiry", "T2 T3", """SELECT DISTINCT task_id, CASE WHEN status = 'running' AND (started_at IS NULL OR started_at < TIMESTAMP '2026-01-01') THEN CASE WHEN completion_reason IS NULL THEN 'failed_retryable' ELSE 'failed_terminal' END ELSE status END AS status FROM search_task""")
 def _(spark, d):
     expired = (F.col("status") == "running") & (F.col("started_at").isNull() | (F.col("started_at") < F.lit("2026-01-01").cast("timestamp_ntz")))
     s = F.when(expired, F.when(F.col("completion_reason").isNull(), "failed_retryable").otherwise("failed_terminal")).otherwise(F.col("status"))

@@ -1,14 +1,21 @@
 import itertools
+import math
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as X
-from ledgerloom.operators import evidence, external, graphs, relational as R
+from ledgerloom.operators import evidence, external, graphs, relational as R, retrieval
 
 
 def test_canonical_url(spark):
     df = spark.createDataFrame([("HTTPS://Example.COM:443/a?id=2&utm_source=test&b=1#section",), ("http://h",), ("ftp://x/y",), (None,)], "u string")
     assert [r[0] for r in df.select(X.canonical_url(F.col("u"))).collect()] == ["https://example.com/a?b=1&id=2", "http://h/", None, None]
+    odd = ["http://h:8080?B=2&a=&c&Ref=x&MC_CID=3&gclid=4", "https://u:p@H/p?q=a%20b+c&q=%E4%BD%A0*~", " https://h/x?a=%zz&&UTM_Source=1 ", "http://h:80/?timestamp=1&share=2"]
+    want = ["http://h:8080/?B=2&a=&c=&gclid=4", "https://h/p?q=a+b+c&q=%E4%BD%A0%2A~", "https://h/x?a=%25zz", "http://h/?share=2&timestamp=1"]
+    df = spark.createDataFrame([(u,) for u in odd], "u string")
+    assert [r[0] for r in df.select(X.canonical_url(F.col("u"))).collect()] == want
 
 
 def test_promote_and_insert(spark):
@@ -91,19 +98,98 @@ def test_external_calls_only_what_is_missing(spark):
 
 
 def test_quality_gate(spark):
-    df = spark.createDataFrame([(None,), ("　 ",), ("Please Enable JavaScript",), ("short",), ("word\n" * 400,), ("A long line of prose that is fine.\n" * 10,)], "t string")
-    assert [r[0] for r in df.select(X.quality_gate(F.col("t"), 50)[1]).collect()] == ["empty_body", "empty_body", "blocked", "short_body", "fragmented", "ok"]
-
-
-def test_representatives_are_diverse(spark):
-    rows = [("t", 1, "a", "x"), ("t", 2, "a", "y"), ("t", 3, "b", "x"), ("t", 4, "b", "z"), ("u", 5, None, None)]
-    df = spark.createDataFrame(rows, "k string, id int, kind string, src string")
-    assert {(r.k, r.id, r.pick) for r in evidence.representatives(df, "k", "kind", "src", ["id"]).collect()} == {("t", 1, 1), ("t", 4, 2), ("u", 5, 1)}
+    df = spark.createDataFrame([(None,), ("　 ",), ("Please Enable\u3000 JavaScript",), ("short",), ("word\n" * 400,), ("A long line of prose that is fine.\n" * 10,)], "t string")
+    both = [X.quality_gate(F.col("t"), 50), X.quality_gate(F.col("t"), 50, True)]
+    rows = df.select(both[0][1], both[0][0], both[1][0]).collect()
+    assert [r[0] for r in rows] == ["empty_body", "empty_body", "access_or_javascript_placeholder", "body_below_minimum_length", "no_substantive_paragraphs", "ok"]
+    other, ocr = "remote_reader_required", "ocr_required"
+    assert [r[1] for r in rows] == [other] * 5 + ["usable"] and [r[2] for r in rows] == [ocr, ocr, other, ocr, other, "usable"]
+
+
+def test_numbers_regions_and_scope(spark):
+    df = spark.createDataFrame([("投资 3.5 亿元，12台，45 %，12台，7 天",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(X.material_numbers(F.col("t"))).collect()] == [["3.5 亿元", "12台", "45 %"], [], None]
+    names = ["广西壮族自治区", "西藏自治区", "北京市", "浦东新区", "云县", None]
+    df = spark.createDataFrame([(n,) for n in names], "r string")
+    assert [r[0] for r in df.select(X.region_alias(F.col("r"))).collect()] == ["广西", "西藏", "北京", "浦东新区", "云县", None]
+    df = spark.createDataFrame([("国务院通知", "全国"), ("广西的项目", "全国"), ("广西的项目", "广西壮族自治区"), ("x", None)], "q string, r string")
+    assert [r[0] for r in df.select(X.is_regional(F.col("q"), F.col("r"))).collect()] == [True, False, True, None]
+    df = spark.createDataFrame([(["海南省", "海南省", "甲"],), (["甲", "全国"],), ([],), (None,)], "r array<string>")
+    got = [r[0] for r in df.select(X.expanded_scope(F.col("r"))).collect()]
+    assert got[0] == ["海南省", "甲"] and got[1] == ["全国", *X.REGIONS, "甲"] and got[2:] == [[], None] and len(X.REGIONS) == 31
+
+
+def test_json_and_tf_idf(spark):
+    df = spark.createDataFrame([('{"a": 1}',), ('so: {"a": {"b": 2}} done',), ("no {json}",), ("none",), (None,)], "t string")
+    assert [r[0] for r in df.select(X.json_object(F.col("t"))).collect()] == ['{"a": 1}', '{"a": {"b": 2}}', None, None, None]
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "a"), (3, None)]
+    got = {(r.id, r.term): r.weight for r in retrieval.tf_idf(spark.createDataFrame(rows, "id int, term string")).collect()}
+    assert set(got) == {(1, "a"), (1, "b"), (2, "a")} and got[1, "a"] == 0 and abs(got[1, "b"] - math.log(1.5)) < 1e-12
+
+
+def test_representatives_differ_in_kind_and_title(spark):
+    rows = [("t", 1, "b", "x"), ("t", 2, "a", "y"), ("t", 3, "b", "y"), ("t", 4, "c", "z"), ("u", 5, None, None), ("v", 6, "a", "x"), ("v", 7, "a", "x"), ("v", 8, "a", "w"), ("w", 9, "a", "x"), ("w", 10, "b", "x")]
+    df = spark.createDataFrame(rows, "k string, id int, kind string, title string")
+    got = {(r.k, r.id, r.pick) for r in evidence.representatives(df, "k", "kind", "title", "id").collect()}
+    assert got == {("t", 2, 1), ("t", 1, 2), ("u", 5, 1), ("v", 6, 1), ("v", 8, 2), ("w", 9, 1)}
+
+
+def test_quotes_are_located(spark):
+    texts = spark.createDataFrame([(1, "报告称^[3]^，销量 达12台。后来又说出口增长明显加快了。"), (2, None), (3, "İx ABC")], "page bigint, text string")
+    quotes = [(1, 1, "销量 达12台"), (2, 1, "称，销量达12台"), (3, 1, "报告称销量达12台…短…出口增长，明显加快了"), (4, 1, "没有"), (5, 2, "x"), (6, 1, None), (7, 3, "abc"), (8, 1, "...")]
+    df = spark.createDataFrame(quotes, "quote_id bigint, page bigint, quote string")
+    got = {(r.quote_id, r.part): (r.start, r.found) for r in evidence.located(texts, df, "page").collect()}
+    assert got == {(1, 1): (10, "销量 达12台"), (2, 1): (3, "称^[3]^，销量 达12台"), (3, 1): (1, "报告称^[3]^，销量 达12台"), (3, 3): (22, "出口增长明显加快了"), (7, 1): (4, "ABC")}
+
+
+def test_zero_pairs_count_in_the_statistics(spark):
+    docs = spark.createDataFrame([(1, ["ab", "bc", "ab"]), (2, ["xy"]), (3, ["zz"])], "id int, grams array<string>")
+    asked = spark.createDataFrame([(7, ["ab", "ab", "q"]), (8, ["xy"])], "id int, grams array<string>")
+    pairs = retrieval.bm25(docs, asked)
+    got = {(r.query_id, r.doc_id): r for r in pairs.collect()}
+    idf = math.log(1 + (3 - 1 + 0.5) / 1.5)
+    assert set(got) == {(7, 1), (8, 2)} and abs(got[7, 1].coverage - 0.5) < 1e-12 and got[7, 1].matched_rare == (idf >= 1.5)
+    assert abs(got[7, 1].score - idf * 2 * 2.5 / (2 + 1.5 * (0.25 + 0.75 * 3 / (5 / 3)))) < 1e-12
+    row = {(r.query_id, r.doc_id): r.hybrid for r in retrieval.fused(pairs, "score", "coverage", 1.0, 6).collect()}
+    # of six coverages four are 0: the median is 0, the upper quartile a quarter above it at most
+    values = sorted([0, 0, 0, 0, got[7, 1].coverage, got[8, 2].coverage])
+    q75 = values[3] + 0.75 * (values[4] - values[3])
+    z = min(12, got[7, 1].coverage / max(q75 / 1.349, 1e-8))
+    assert abs(row[7, 1] - 1 / (1 + math.exp(-z))) < 1e-9
+
+
+def test_overlapping_groups(spark):
+    rng = np.random.default_rng(4)
+    rows = [("k", i, [float(x) for x in rng.standard_normal(8)]) for i in range(50)] + [("one", 99, [1.0] * 8)]
+    df = spark.createDataFrame(rows, "k string, id bigint, vec array<double>")
+    got = graphs.overlapping_groups(df, "k", 8, 0.25).toPandas()
+    primary = got[got.role == "primary"]
+    assert sorted(primary.id) == [*range(50), 99] and primary.groupby(["k", "part"]).size().max() <= 6
+    assert got.groupby(["k", "part"]).size().max() <= 8 and not got.duplicated(["k", "part", "id"]).any()
+    # no two groups of a key could still be put together
+    sizes = sorted(primary[primary.k == "k"].groupby("part").size())
+    assert sizes[0] + sizes[1] > 6
+    v = {i: np.array(x) / np.linalg.norm(x) for _, i, x in rows}
+    for (_, _), g in got[got.k == "k"].groupby(["k", "part"]):
+        own, near = list(g[g.role == "primary"].id), list(g[g.role == "context"].id)
+        score = {i: max(v[i] @ v[j] for j in own) for i in range(50) if i not in own}
+        assert near == sorted(score, key=lambda i: (-score[i], i))[: len(near)] and len(near) == min(2, 8 - len(own))
+
+
+def test_compatible_takes_the_first_fit(spark):
+    angle = lambda d: [math.cos(math.radians(d)), math.sin(math.radians(d))]
+    rows = [("a", 1, angle(0)), ("a", 2, angle(25)), ("a", 3, angle(15)), ("b", 4, angle(0))]
+    df = spark.createDataFrame(rows, "k string, id bigint, vec array<double>")
+    got = {(r.k, r.cluster, r.id) for r in graphs.compatible(df, "k", 0.93).collect()}
+    assert got == {("a", 1, 1), ("a", 2, 2), ("a", 1, 3), ("b", 4, 4)}
+    with pytest.raises(Exception, match="not zero"):
+        graphs.compatible(spark.createDataFrame([("a", 1, [0.0, 0.0])], "k string, id bigint, vec array<double>"), "k", 0.9).collect()
 
 
 def test_anchor_and_link(spark):
-    df = spark.createDataFrame([("微型逆变器系统", "海上逆变器系统集成"), ("系统", "系统"), (None, "x"), ("a", "a")], "p string, n string")
-    assert [r[0] for r in df.select(X.anchor(F.col("p"), F.col("n"), ["系统"])).collect()] == ["逆变器系统", None, None, None]
+    rows = [("微型逆变器系统", "海上逆变器系统集成", None), ("系统", "系统", None), (None, "x", "x"), ("a", "a", None), ("智能ABC柜", "y", "abc柜类"), ("智能", "智能柜", "智能")]
+    df = spark.createDataFrame(rows, "p string, n string, f string")
+    assert [r[0] for r in df.select(X.anchor(F.col("p"), [F.col("n"), F.col("f")], X.GENERIC_TERMS)).collect()] == ["逆变器系统", None, None, None, "abc柜", None]
     df = spark.createDataFrame([("采购了一批机器人",), ("采购。机器人",), (None,)], "t string")
     assert [r[0] for r in df.select(X.linked(F.col("t"), "机器人", ["采购"])).collect()] == [True, False, None]
 
@@ -111,4 +197,9 @@ def test_anchor_and_link(spark):
 def test_no_query_claims_what_is_not_built():
     from ledgerloom.plans.catalogue import CORE
 
-    assert not {"G4", "G5", "G10", "G11", "G15", "G16", "J10"} & {i for ids in CORE.operators.values() for i in ids}
+    assert not {"G10", "G11", "G16", "J10", "K11", "K15", "K16", "P10", "P18", "L5", "F19", "F27", "T1", "T4", "W8"} & {i for ids in CORE.operators.values() for i in ids}
+
+
+def test_company_forms(spark):
+    df = spark.createDataFrame([("甲·乙（集团）　Co., Ltd.", "该企业成立于2001年，法定代表人为张三，注册资本为10万元"), (None, None), ("", "成立于2001年，所属行业为制造")], "n string, p string")
+    assert [tuple(r) for r in df.select(X.company_form(F.col("n")), X.is_register_profile(F.col("p"))).collect()] == [("甲乙集团coltd", True), ("", False), ("", False)]
