@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import materialise
+
 BITS = 60
 TREES = 16
 LEAF = 384
 #: Candidates a query sees in a tree at least, if its partition has as many.
 LEAST = 640
-#: Rows of a partition of a tree on average, and most before its prefix gets longer.
+#: Rows of a partition of a tree on average, most before its prefix gets longer, and bits it gets longer by each time.
 BUCKET = 4096
 HEAVY = 32768
 LONGER = 8
@@ -97,7 +99,11 @@ NEAR = pa.list_(pa.struct([("d", pa.int64()), ("n", pa.int64())]))
 
 
 def nearest(vectors: DataFrame, dim: int, k: int, trees: int = TREES, rows: int | None = None) -> DataFrame:
-    """(id, near array<struct<d, n>>): for each row of (id, vec) its k most similar rows in order; d is minus the similarity in millionths."""
+    """(id, near array<struct<d, n>>): for each row of (id, vec) its k most similar rows in order; d is minus the similarity in millionths.
+
+    A prefix gets longer for as long as its bucket holds more than HEAVY rows. Vectors too many of which agree in all BITS
+    signs of a tree are parted by a hash there, another one in each tree, so that no task holds them all.
+    """
     rows = vectors.count() if rows is None else rows
     prefix = max(0, min(BITS - LONGER - 1, math.ceil(math.log2(max(rows, 1) / BUCKET)))) if rows > BUCKET else 0
 
@@ -112,19 +118,35 @@ def nearest(vectors: DataFrame, dim: int, k: int, trees: int = TREES, rows: int
             offsets = pa.array(np.arange(0, batch.num_rows * trees + 1, trees, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("vec"), pa.ListArray.from_arrays(offsets, keys)], ["id", "vec", "keys"])
 
-    keyed = vectors.select("id", "vec").mapInArrow(hashed, "id bigint, vec array<float>, keys array<bigint>")
-    strings = keyed.select("id", "vec", F.posexplode("keys").alias("tree", "key"))
-    short = F.shiftright("key", BITS - prefix)
-    heavy = (
-        keyed.select(F.posexplode("keys").alias("tree", "key"))
-        .groupBy("tree", short.alias("short"))
-        .count()
-        .where(F.col("count") > HEAVY)
-        .select("tree", "short", F.lit(True).alias("heavy"))
-    )
-    strings = strings.withColumn("short", short).join(heavy, ["tree", "short"], "left")
-    bucket = F.when(F.col("heavy"), F.shiftright("key", BITS - prefix - LONGER)).otherwise(F.col("short"))
-    grouped = strings.select("tree", bucket.alias("bucket"), F.coalesce("heavy", F.lit(False)).alias("heavy"), "id", "key", "vec").groupBy("tree", "heavy", "bucket")
+    keyed = materialise(vectors.select("id", "vec").mapInArrow(hashed, "id bigint, vec array<float>, keys array<bigint>"), "keys")
+    keys = keyed.select("id", F.posexplode("keys").alias("tree", "key"))
+    at = lambda bits: F.shiftright("key", BITS - bits)
+    # prefixes get longer for as long as a bucket is heavy; only its own rows are counted again
+    open_, levels, bits = keys, [], prefix
+    while True:
+        heavy = materialise(open_.groupBy("tree", at(bits).alias("short")).agg(F.count("*").alias("n")).where(F.col("n") > HEAVY), "heavy")
+        if heavy.isEmpty():
+            break
+        levels.append((bits, heavy))
+        if bits == BITS:
+            break
+        open_ = open_.withColumn("short", at(bits)).join(heavy.select("tree", "short"), ["tree", "short"], "left_semi").drop("short")
+        bits = min(bits + LONGER, BITS)
+    strings = keyed.select("id", "vec", F.posexplode("keys").alias("tree", "key")).withColumns({"bits": F.lit(prefix), "split": F.lit(0)})
+    for level, heavy in levels:
+        # a bucket of whole strings is parted by another hash in each tree
+        more = heavy.select("tree", F.col("short").alias("bucket"), F.lit(level).alias("bits"), F.ceil(F.col("n") / HEAVY).cast("int").alias("parts"))
+        strings = strings.withColumn("bucket", F.when(F.col("bits") == level, at(level))).join(more, ["tree", "bucket", "bits"], "left")
+        longer = F.col("parts").isNotNull()
+        if level == BITS:
+            strings = strings.withColumn("split", F.when(longer, F.pmod(F.xxhash64("id", "tree"), F.col("parts")).cast("int")).otherwise(F.col("split")))
+        else:
+            strings = strings.withColumn("bits", F.when(longer, min(level + LONGER, BITS)).otherwise(F.col("bits")))
+        strings = strings.drop("bucket", "parts")
+    bucket = F.lit(0).cast("bigint")
+    for level in {prefix, *(min(level + LONGER, BITS) for level, _ in levels)}:
+        bucket = F.when(F.col("bits") == level, at(level)).otherwise(bucket)
+    grouped = strings.select("tree", "bits", "split", bucket.alias("bucket"), "id", "key", "vec").groupBy("tree", "bits", "split", "bucket")
     found = grouped.applyInArrow(lambda t: _search(t, dim, k), "id bigint, near array<struct<d:bigint,n:bigint>>")
     merged = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))), 1, k)
     return found.groupBy("id").agg(merged.alias("near"))

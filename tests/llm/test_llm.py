@@ -186,6 +186,30 @@ def test_vectors(spark):
     assert len(got & want) >= 0.99 * len(want) and len(got - want) <= 0.01 * len(want)
 
 
+def test_heavy_buckets_get_longer_prefixes(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "HEAVY", 120)
+    monkeypatch.setattr(vectors, "BUCKET", 100)
+    rng = np.random.default_rng(7)
+    centre = rng.standard_normal(16)
+    close = [(i, [float(x) for x in centre + 0.05 * rng.standard_normal(16)]) for i in range(400)]
+    alike = [(1000 + i, [float(x) for x in -centre + 1e-7 * rng.standard_normal(16)]) for i in range(300)]
+    rows = close + alike + [(2000 + i, [float(x) for x in rng.standard_normal(16)]) for i in range(300)]
+    got = {}
+    for r in vectors.nearest(spark.createDataFrame(rows, "id bigint, vec array<float>"), 16, 5).collect():
+        got[r.id] = [p.n for p in r.near]
+    assert set(got) == {i for i, _ in rows}
+    ids = np.array([i for i, _ in rows])
+    u = np.array([v for _, v in rows], dtype=np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    found = 0
+    for n in range(400):
+        s = np.rint(u @ u[n] * 1e6)
+        s[n] = -9e9
+        found += len({int(ids[m]) for m in np.lexsort((ids, -s))[:5]} & set(got[int(ids[n])]))
+    assert found >= 0.9 * 5 * 400
+    assert all(len(got[i]) == 5 and all(1000 <= x < 1300 for x in got[i]) for i, _ in alike)
+
+
 def test_vectors_of_nothing(spark):
     assert vectors.neighbour_pairs(spark.createDataFrame([(1, None)], "i bigint, v array<float>"), "i", "v", 16, 10).count() == 0
 
