@@ -25,7 +25,7 @@ BYTE_BPE = "byte_bpe_50k.tiktoken"
 #: The tokenizer's word pattern; the class for blanks is spelled out because Java's \\s knows ASCII only.
 WORD = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+"
 CHUNK_BYTES = 6 << 20
-#: Chunks of a task on average, where there are more than the cluster has cores.
+#: Chunks of a task on average, where there are more than four for each core.
 CHUNKS_IN_TASK = 32
 
 
@@ -61,7 +61,7 @@ def encode(df: DataFrame, id_col: str, text_col: str, tokenizer_dir: str = TOKEN
     size = full.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     chunks = max(1, math.ceil(size / chunk_bytes))
     # as many tasks as the texts need, whatever the session's number of partitions is
-    tasks = max(math.ceil(chunks / CHUNKS_IN_TASK), min(chunks, df.sparkSession.sparkContext.defaultParallelism))
+    tasks = max(math.ceil(chunks / CHUNKS_IN_TASK), min(chunks, 4 * df.sparkSession.sparkContext.defaultParallelism))
     placed = full.select("_id", "_text", F.pmod(F.xxhash64("_id"), F.lit(chunks)).cast("int").alias("_chunk")).repartition(tasks, "_chunk")
     split = placed.select("_id", "_chunk", words(F.col("_text")).alias("_words"))
     # the count keeps _id in this branch, so that both branches need the same columns and share one exchange of the texts

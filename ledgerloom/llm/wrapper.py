@@ -104,7 +104,7 @@ def matching(a: list[list[int]], b: list[list[int]]) -> set[tuple[int, int]]:
 
 
 def _aligned(key: tuple, table: pa.Table) -> pa.Table:
-    """The unit of pages of one group of a host, as one row, with the keys, flags and alignment of their lines."""
+    """Pages of one group of a host, which are a unit, with the keys, flags and alignment of their lines."""
     import xxhash
 
     table = table.sort_by("id")
@@ -147,24 +147,31 @@ def _aligned(key: tuple, table: pa.Table) -> pa.Table:
         out_keys.append(np.array(keys, dtype=np.int64).ravel())
         out_flags.append(flags.astype(np.int8))
     unit = xxhash.xxh64_intdigest(f"{key[1].as_py()}\n{host}".encode("utf-8", "replace")) >> 1
-    row = {"unit": unit, "ids": ids, "sizes": [len(f) for f in out_flags], "keys": np.concatenate(out_keys), "flags": np.concatenate(out_flags).tobytes()}
-    return pa.Table.from_pylist([row], schema=pa.schema([("unit", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64())), ("flags", pa.binary())]))
+    return pa.table(
+        {
+            "unit": pa.array([unit] * n, pa.int64()), "id": table["id"], "keys": pa.array(out_keys, pa.list_(pa.int64())), "flags": pa.array([f.tobytes() for f in out_flags], pa.binary()),
+        }
+    )
 
 
-UNIT = "unit bigint, ids array<bigint>, sizes array<int>, keys array<bigint>, flags binary"
+UNIT = "unit bigint, id bigint, keys array<bigint>, flags binary"
 
 
-def _pages(units: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, list[tuple[int, np.ndarray, np.ndarray]]]]:
-    """(unit, pages) with (id, keys by line, flags by line) of each page."""
-    for row in range(units.num_rows):
-        at = {c: units[c][row] for c in ("unit", "ids", "sizes", "keys", "flags")}
-        keys, flags = at["keys"].values.to_numpy().reshape(-1, KEYS), np.frombuffer(at["flags"].as_buffer(), dtype=np.int8)
-        ends = np.cumsum([0, *at["sizes"].as_py()])
-        yield at["unit"].as_py(), [(i, keys[a:b], flags[a:b]) for i, a, b in zip(at["ids"].as_py(), ends, ends[1:], strict=False)]
+def _pages(rows: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, list[tuple[int, np.ndarray, np.ndarray]]]]:
+    """(unit, pages) with (id, keys by line, flags by line) of each page, for pages whose units lie side by side."""
+    unit, pages = None, []
+    for row, (u, i) in enumerate(zip(rows["unit"].to_pylist(), rows["id"].to_pylist(), strict=True)):
+        if u != unit and pages:
+            yield unit, pages
+            pages = []
+        unit = u
+        pages.append((i, rows["keys"][row].values.to_numpy().reshape(-1, KEYS), np.frombuffer(rows["flags"][row].as_buffer(), dtype=np.int8)))
+    if pages:
+        yield unit, pages
 
 
 def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The keys of each unit, each once: pages that hold it, pages at whose edge it stands, whether it is navigation."""
+    """The keys of each unit, once in a batch: pages that hold it, pages at whose edge it stands, whether it is navigation."""
     for b in batches:
         for unit, pages in _pages(b):
             k = np.concatenate([x.ravel() for _, x, _ in pages])
