@@ -4,7 +4,9 @@ A suffix starts at an anchor: a position whose GRAM-gram has the smallest hash o
 characters holds a whole window, so two texts that share it share an anchor in it. Suffixes are parted by their
 prefix of GRAM characters; only prefixes that stand in several documents are kept. In each part the sorted suffixes
 and their longest common prefixes are the suffix tree: an internal node of depth r and a common left context of
-LEAST - r characters give a repeat. Parts too large for memory are split by longer prefixes, on to whole spans.
+LEAST - r characters give a repeat. Prefixes have variable length: a part too large for memory is split twice, by a
+prefix of LONGER characters, which holds all nodes at least that deep, and by the left context that shallower ones
+need; what is still too large goes on to whole spans without being collected.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from .textgrams import code_points, mix
 GRAM = 64
 LEAST = 200
 WINDOW = LEAST - GRAM + 1
-#: Suffixes of one prefix that are held in memory together.
+#: Suffixes of one prefix that are held in memory together, and length of the prefix that parts larger ones.
 PART = 4000
+LONGER = 132
 
 
 def _slide(x: np.ndarray, w: int, best: np.ufunc) -> np.ndarray:
@@ -167,11 +170,20 @@ def shared_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = single.join(at, "doc").mapInArrow(_contexts, "h bigint, doc bigint, pos int, before string, after string")
     large = again.where(F.col("n") > PART).select("h", F.lit(True).alias("large"))
     parts = materialise(parts.join(large, "h", "left"), "suffixes")
-    trees = parts.where("large is null").drop("large").repartition("h").sortWithinPartitions("h").mapInArrow(_trees, "span string, doc bigint, lo int, hi int")
-    # the prefix of a large part goes on to whole spans, one for each start before the anchor
+    # two suffixes of a large part that share a span agree in LONGER characters after the anchor, or in enough before it
+    left = LEAST - LONGER + 1
+    deep = F.when(F.length("after") >= LONGER, F.xxhash64("h", F.substring("after", 1, LONGER)))
+    shallow = F.when(F.length("before") >= left, F.xxhash64("h", F.lit(1), F.expr(f"right(before, {left})")))
+    finer = parts.where("large").select(F.explode(F.filter(F.array(deep, shallow), lambda x: x.isNotNull())).alias("h2"), "doc", "pos", "before", "after")
+    sizes = finer.groupBy("h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n")).where("first < last")
+    finer = materialise(finer.join(sizes.select("h2", "n"), "h2"), "finer")
+    small = parts.where("large is null").drop("large").unionByName(finer.where(F.col("n") <= PART).drop("n").withColumnRenamed("h2", "h"))
+    trees = small.repartition("h").sortWithinPartitions("h").mapInArrow(_trees, "span string, doc bigint, lo int, hi int")
+    # what is still large goes on to whole spans, one for each start before the anchor
     starts = F.sequence(F.lit(0), F.length("before"))
     span = F.substr(F.concat("before", "after"), F.length("before") - F.col("t") + 1, F.lit(LEAST))
-    split = parts.where("large").withColumn("t", F.explode(starts)).withColumn("span", span).where(F.length("span") == LEAST)
+    whole = finer.where(F.col("n") > PART).select("doc", "pos", "before", "after").distinct()
+    split = whole.withColumn("t", F.explode(starts)).withColumn("span", span).where(F.length("span") == LEAST)
     split = split.select("span", "doc", (F.col("pos") - F.col("t")).alias("lo"), (F.col("pos") - F.col("t") + LEAST).alias("hi"))
     named = [F.xxhash64("span").alias("s1"), F.xxhash64("span", F.lit(1)).alias("s2"), "doc", "lo", "hi"]
     split = split.select(*named)

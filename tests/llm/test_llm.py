@@ -136,7 +136,7 @@ def test_large_groups_give_each_pair_once():
     assert neardup._block_pairs(other, least).num_rows == 0
 
 
-@pytest.mark.parametrize("part", [3, 4000])
+@pytest.mark.parametrize("part", [3, 8, 4000])
 def test_spans(spark, monkeypatch, part):
     monkeypatch.setattr(spans, "PART", part)
     rng = random.Random(2)
