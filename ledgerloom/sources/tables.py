@@ -30,6 +30,23 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + own
 
 
+#: Tables written by this driver.
+_WRITTEN: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the tables that materialise has written for this driver, and gives their number.
+
+    To be called when the results that read them are done; a result that is read after that fails.
+    """
+    jvm = spark.sparkContext._jvm
+    conf, n = spark.sparkContext._jsc.hadoopConfiguration(), len(_WRITTEN)
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
+
+
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Cut the lineage of df with a Parquet table in the shared folder and read it back.
 
@@ -40,4 +57,5 @@ def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
