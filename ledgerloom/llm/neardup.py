@@ -110,7 +110,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs(batches: Iterator[pa.RecordBatch], group: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of the classes that share a key and differ in part, from rows sorted by key; rows of groups of more than group come out as (uid, null, key)."""
+    """Pairs of the classes that share a key and differ in part (or in uid, if there is none), from rows sorted by key; rows of groups of more than group come out as (uid, null, key)."""
 
     def out(a: np.ndarray, b: np.ndarray | None, key: np.ndarray | None) -> pa.RecordBatch:
         none = pa.nulls(len(a), pa.int64())
@@ -125,7 +125,8 @@ def _pairs(batches: Iterator[pa.RecordBatch], group: int) -> Iterator[pa.RecordB
     empty = np.empty(0, np.int64)
     left_k, left_u, left_c, hot = empty, empty, empty, None
     for batch in batches:
-        k, u, c = (np.concatenate([x, batch.column(n).to_numpy()]) for x, n in ((left_k, "key"), (left_u, "uid"), (left_c, "part")))
+        part = "part" if "part" in batch.schema.names else "uid"
+        k, u, c = (np.concatenate([x, batch.column(n).to_numpy()]) for x, n in ((left_k, "key"), (left_u, "uid"), (left_c, part)))
         if not len(k):
             continue
         once = np.concatenate([[True], (k[1:] != k[:-1]) | (u[1:] != u[:-1])])  # a record may be delivered twice
@@ -241,8 +242,12 @@ def _exact(pairs: DataFrame, plain: DataFrame, threshold: float) -> DataFrame:
 
 
 def _survivors(signed: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of rows of signed (uid, part, keys, words) that share a band, differ in part and are left by the comparison."""
-    rows = signed.select("uid", "part", F.explode("keys").alias("key"))
+    """Pairs of rows of signed (uid, part, keys, words) that share a band, differ in part and are left by the comparison.
+
+    Without part each row is its own.
+    """
+    rows = signed.select(*[c for c in signed.columns if c in ("uid", "part")], F.explode("keys").alias("key"))
+    signed = signed if "part" in signed.columns else signed.withColumn("part", F.col("uid"))
     group, least = GROUP, least_matches(threshold, TOLERANCE)
     proposed = rows.repartition("key").sortWithinPartitions("key", "uid").mapInArrow(lambda x: _pairs(x, group), "a bigint, b bigint, hot bigint")
     proposed = materialise(proposed, "proposed")
@@ -267,7 +272,7 @@ def similar_classes(texts: DataFrame, threshold: float) -> tuple[DataFrame, Data
     1 - (1 - threshold^ROWS)^BANDS (0.998 at 0.7, 0.9999 at 0.75) and survives the pruning with about 1 - TOLERANCE per step.
     """
     several, once, plain = _classes(texts)
-    return several, _exact(_survivors(once.withColumn("part", F.col("uid")), threshold), plain, threshold)
+    return several, _exact(_survivors(once, threshold), plain, threshold)
 
 
 def similar_groups(texts: DataFrame, threshold: float) -> DataFrame:
