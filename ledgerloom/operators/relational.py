@@ -33,6 +33,11 @@ def insert_missing(existing: DataFrame, new: DataFrame, keys: list[str]) -> Data
     return new.join(existing.select(*keys).distinct(), keys, "left_anti")
 
 
+def by_optional(df: DataFrame, column: str, values: list | None) -> DataFrame:
+    """Rows whose column is in values; None sets no condition, an empty list finds nothing. Nulls are in no list."""
+    return df if values is None else df.where(F.col(column).isin(values) if values else F.lit(False))
+
+
 def promote(df: DataFrame, key: str, order: list[str], decision: str, keep: str = "keep") -> DataFrame:
     """Upsert of rows by key: the first row wins, but its decision may be promoted to keep by any later one."""
     rest = [c for c in df.columns if c not in (key, decision)]

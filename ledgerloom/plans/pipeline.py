@@ -54,11 +54,11 @@ def _(spark, d):
     return T(spark, d, "topic").where(c.isNull() | (c.startswith("据") & c.contains("介绍"))).select("topic_id")
 
 
-@Q("p21_index_clamp", "P21", "SELECT track_id, array_to_string(list_filter([0, 1, 1, 2, 5], lambda x: x < len(topic_ids)), '|') AS raw FROM track WHERE len(topic_ids) < 2")
+@Q("p21_index_clamp", "P21", "SELECT track_id, array_to_string(list_sort(list_distinct(list_filter([0, 1, 1, 2, 5], lambda x: x < len(coalesce(topic_ids, []))))), '|') AS kept FROM track")
 def _(spark, d):
-    t = T(spark, d, "track").where("size(topic_ids) < 2")
-    clamped = F.filter(F.array(*[F.lit(i) for i in (0, 1, 1, 2, 5)]), lambda x: x < F.size("topic_ids"))
-    return t.select("track_id", F.array_join(clamped.cast("array<string>"), "|").alias("raw"))
+    size = F.coalesce(F.size("topic_ids"), F.lit(0))
+    kept = F.array_sort(F.array_distinct(F.filter(F.array(*[F.lit(i) for i in (0, 1, 1, 2, 5)]), lambda x: x < size)))
+    return T(spark, d, "track").select("track_id", F.array_join(kept.cast("array<string>"), "|").alias("kept"))
 
 
 @Q("p23_misplaced_evidence", "P23", """WITH v AS (SELECT k.track_id, count(*) AS n, count(t.topic_id) AS ok FROM (SELECT track_id, unnest(topic_ids) AS m FROM track) k LEFT JOIN (SELECT topic_id FROM topic WHERE status = 'active') t ON t.topic_id = k.m GROUP BY 1) SELECT track_id, CASE WHEN ok > 0 THEN ok ELSE n END AS kept FROM v""")
@@ -115,9 +115,10 @@ def _(spark, d):
     return T(spark, d, "topic").select("topic_id", F.size(terms).cast("bigint").alias("terms"), F.coalesce(F.nullif("definition", F.lit("")), "label").alias("text"))
 
 
-@Q("f36_iso_date", "F36 F6", r"""SELECT DISTINCT result_id, try_cast(substr(publish_date, 1, 10) AS DATE) AS published FROM search_result WHERE regexp_matches(publish_date, '^\d{4}-\d{2}-\d{2}')""")
+@Q("f36_iso_date", "F36 F6", r"""SELECT DISTINCT result_id, CASE WHEN regexp_matches(publish_date, '^\d{4}-\d{2}-\d{2}') THEN try_cast(substr(publish_date, 1, 10) AS DATE) END AS published FROM search_result""")
 def _(spark, d):
-    return T(spark, d, "search_result").where(F.col("publish_date").rlike(r"^\d{4}-\d{2}-\d{2}")).select("result_id", F.substring("publish_date", 1, 10).try_cast("date").alias("published")).distinct()
+    iso = F.when(F.col("publish_date").rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring("publish_date", 1, 10).try_cast("date"))
+    return T(spark, d, "search_result").select("result_id", iso.alias("published")).distinct()
 
 
 @Q("f37_support_anchor", "F37", f"""WITH p AS (SELECT k.track_id, t.topic_id, lower(t.label) AS label, lower(k.name) AS name, coalesce(lower(k.offering_family), '') AS family FROM (SELECT track_id, name, offering_family, unnest(topic_ids) AS m FROM track) k JOIN topic t ON t.topic_id = k.m), c AS (SELECT *, unnest(range(0, length(label) - 1)) AS cut FROM p WHERE label NOT IN ({IN_GENERIC})), s AS (SELECT *, unnest(range(1, cut + 2)) AS i FROM c), f AS (SELECT *, substr(label, i, length(label) - cut) AS part FROM s)

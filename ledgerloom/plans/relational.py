@@ -91,10 +91,12 @@ def _(spark, d):
     return T(spark, d, "part").where(F.col("p_type").startswith("PROMO")).select("p_partkey", "p_type")
 
 
-@Q("p05_dynamic_in_empty", "P5", "SELECT o_orderkey FROM orders WHERE false")
+@Q("p05_dynamic_in_empty", "P5", "SELECT 'given' AS asked, o_orderkey FROM orders WHERE o_orderstatus = 'O' AND o_custkey IN (1, 2, 40, 41, 70) UNION ALL SELECT 'none', o_orderkey FROM orders WHERE o_orderstatus = 'O'")
 def _(spark, d):
-    ids: list[int] = []
-    return T(spark, d, "orders").where(F.col("o_orderkey").isin(ids) if ids else F.lit(False)).select("o_orderkey")
+    """Orders by optional lists of customers: no list leaves the condition out, an empty list finds nothing."""
+    o = T(spark, d, "orders").where("o_orderstatus = 'O'")
+    found = [R.by_optional(o, "o_custkey", ids).select(F.lit(name).alias("asked"), "o_orderkey") for name, ids in (("given", [1, 2, 40, 41, 70]), ("empty", []), ("none", None))]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @Q("p06_exists_not_exists", "P6 J6 J7", """SELECT c_custkey FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o_orderstatus = 'O') AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o_orderstatus = 'F')""")
@@ -103,13 +105,14 @@ def _(spark, d):
     return c.join(o.where("o_orderstatus = 'O'"), "c_custkey", "left_semi").join(o.where("o_orderstatus = 'F'"), "c_custkey", "left_anti").select("c_custkey")
 
 
-@Q("p08_review_overrides", "P8", """SELECT DISTINCT result_id, CASE WHEN regexp_matches(url, '/search(list)?([/?]|$)|[?&](q|query|searchword|keyword)=') THEN 'source_entry' ELSE url_type END AS url_type,
-CASE WHEN regexp_matches(url, '/search(list)?([/?]|$)|[?&](q|query|searchword|keyword)=') OR try_cast(substr(publish_date, 1, 10) AS DATE) < DATE '2023-01-01' THEN 'drop' ELSE decision END AS decision FROM search_result WHERE regexp_full_match(substr(publish_date, 1, 10), '\\d{4}-\\d{2}-\\d{2}')""")
+@Q("p08_review_overrides", "P8", """WITH r AS (SELECT *, coalesce(regexp_matches(url, '/search(list)?([/?]|$)|[?&](q|query|searchword|keyword)='), false) AS listing, CASE WHEN regexp_matches(publish_date, '^\\d{4}-\\d{2}-\\d{2}') THEN try_cast(substr(publish_date, 1, 10) AS DATE) END AS day FROM search_result)
+SELECT DISTINCT result_id, CASE WHEN listing THEN 'source_entry' ELSE url_type END AS url_type, CASE WHEN listing OR day NOT BETWEEN DATE '2023-01-01' AND DATE '2025-12-31' THEN 'drop' ELSE decision END AS decision FROM r""")
 def _(spark, d):
-    r = T(spark, d, "search_result").where(F.substring("publish_date", 1, 10).rlike(r"^\d{4}-\d{2}-\d{2}$"))
-    listing = F.col("url").rlike(r"/search(list)?([/?]|$)|[?&](q|query|searchword|keyword)=")
-    early = F.coalesce(F.substring("publish_date", 1, 10).try_cast("date") < F.lit("2023-01-01").cast("date"), F.lit(False))
-    return r.select("result_id", F.when(listing, "source_entry").otherwise(F.col("url_type")).alias("url_type"), F.when(listing | early, "drop").otherwise(F.col("decision")).alias("decision")).distinct()
+    listing = F.coalesce(F.col("url").rlike(r"/search(list)?([/?]|$)|[?&](q|query|searchword|keyword)="), F.lit(False))
+    day = F.when(F.col("publish_date").rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring("publish_date", 1, 10).try_cast("date"))
+    outside = F.coalesce(~day.between(F.lit("2023-01-01").cast("date"), F.lit("2025-12-31").cast("date")), F.lit(False))
+    r = T(spark, d, "search_result")
+    return r.select("result_id", F.when(listing, "source_entry").otherwise(F.col("url_type")).alias("url_type"), F.when(listing | outside, "drop").otherwise(F.col("decision")).alias("decision")).distinct()
 
 
 @Q("p09_citations", "P9", "SELECT result_id, cast(u.n AS BIGINT) AS cited FROM (SELECT DISTINCT result_id, unnest(list_distinct(list_transform(regexp_extract_all(snippet, '\\[(?:citation:)?(\\d{1,3})\\]', 1), lambda x: cast(x AS BIGINT)))) AS n FROM search_result) u")

@@ -203,3 +203,8 @@ def test_no_query_claims_what_is_not_built():
 def test_company_forms(spark):
     df = spark.createDataFrame([("甲·乙（集团）　Co., Ltd.", "该企业成立于2001年，法定代表人为张三，注册资本为10万元"), (None, None), ("", "成立于2001年，所属行业为制造")], "n string, p string")
     assert [tuple(r) for r in df.select(X.company_form(F.col("n")), X.is_register_profile(F.col("p"))).collect()] == [("甲乙集团coltd", True), ("", False), ("", False)]
+
+
+def test_optional_lists(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "a int")
+    assert [R.by_optional(df, "a", v).count() for v in (None, [], [2, 5])] == [3, 0, 1]
